@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", name: str = "opsmart", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("OPSMART_DRIVER_MEMORY", "12g"))
     )
     for key, value in conf.items():
