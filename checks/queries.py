@@ -219,7 +219,7 @@ def crosstab(s, d):
 
 
 def dashboard_measures(s, d):
-    daily = _daily(s, d)
+    daily = materialize(_daily(s, d))
     return reshape.stack_by_name([
         measures.as_rows(measures.stress(daily, elevated_from=4), "stress"),
         measures.as_rows(measures.outages(daily), "outages"),

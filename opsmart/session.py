@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cores: int | str = "*", name: str = "opsmart", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("OPSMART_DRIVER_MEMORY", "12g"))
     )
@@ -44,10 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the frame to the checkpoint folder once and continue from there.
+    """Write the frame once as a table in the checkpoint folder and continue from the table.
 
     Used where a small or iterated result is read several times: later steps
-    neither repeat the work nor depend on executors that may be lost.
+    neither repeat the work nor depend on executors that may be lost. A table
+    rather than an RDD checkpoint, because its size is known to the join
+    planning that follows and an iterated plan starts afresh in every round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/opsmart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
