@@ -380,7 +380,7 @@ def label_join(s, d):
 
 def peak_months(s, d):
     """Months whose order value is the highest of their priority."""
-    months = raw.sales_wide(s, d).select("sectorName", "period", "sales")
+    months = materialize(raw.sales_wide(s, d).select("sectorName", "period", "sales"))
     return ordered.group_peak_flag(months, "sales", "is_peak", ["sectorName"])
 
 

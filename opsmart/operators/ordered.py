@@ -74,7 +74,10 @@ def lag_change(df: DataFrame, value: str, output: str, partition: Sequence[str],
 def group_peak_flag(df: DataFrame, value: str, output: str, partition: Sequence[str]) -> DataFrame:
     """1 where the value equals the maximum of its group. All tied rows get 1, a NULL value gets 0.
 
-    The maximum is pre-aggregated and joined back, so a large group is never held by one task.
+    The maximum is pre-aggregated and joined back, so a large group is never held
+    by one task. The frame is read twice: pass a materialized one if it is costly.
     """
-    peaks = df.groupBy(*partition).agg(F.max(value).alias("__peak"))
-    return df.join(peaks, list(partition), "left").withColumn(output, flag(F.col(value) == F.col("__peak"))).drop("__peak")
+    names = [f"__group_{i}" for i, _ in enumerate(partition)]
+    peaks = df.groupBy(*[F.col(c).alias(n) for c, n in zip(partition, names)]).agg(F.max(value).alias("__peak"))
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]
+    return df.join(peaks, same, "left").withColumn(output, flag(F.col(value) == F.col("__peak"))).drop("__peak", *names)

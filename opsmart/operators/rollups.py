@@ -61,7 +61,8 @@ def most_frequent(
 
 
 def mix_within(df: DataFrame, group: str, member: str, digits: int = 4) -> DataFrame:
-    """Count of each member inside its group and its share of the group."""
+    """Count of each member inside its group and its share of the group. A NULL group is a group of its own."""
     counts = df.groupBy(group, member).agg(F.count("*").alias("count"))
-    totals = counts.groupBy(group).agg(F.sum("count").alias("group_count"))
-    return counts.join(totals, group).withColumn("share", F.round(F.col("count") / F.col("group_count"), digits))
+    totals = counts.groupBy(F.col(group).alias("__group")).agg(F.sum("count").alias("group_count"))
+    joined = counts.join(totals, F.col(group).eqNullSafe(F.col("__group"))).drop("__group")
+    return joined.withColumn("share", F.round(F.col("count") / F.col("group_count"), digits))

@@ -55,6 +55,7 @@ def test_counts_totals_profile_mix(spark):
     assert rows(rollups.distinct_values(df, "k")) == [("a",), ("b",)]
     assert rows(rollups.distinct_values(df, "k", newest=1)) == [("b",)]
     mix = spark.createDataFrame([("g", "x"), ("g", "x"), ("g", "y"), ("h", "y")], "g string, m string")
+    assert rows(rollups.mix_within(mix.withColumn("g", F.lit(None).cast("string")), "g", "m"), "m") == [(None, "x", 2, 4, 0.5), (None, "y", 2, 4, 0.5)]
     assert rows(rollups.mix_within(mix, "g", "m"), "g", "m") == [("g", "x", 2, 3, 0.6667), ("g", "y", 1, 3, 0.3333), ("h", "y", 1, 1, 1.0)]
 
 
@@ -92,8 +93,8 @@ def test_lag_counts_rows_not_months(spark):
 
 
 def test_group_peak(spark):
-    df = spark.createDataFrame([(1, "a", 5.0), (2, "a", 5.0), (3, "a", 1.0), (4, "b", None)], "id int, g string, v double")
-    assert [r[0] for r in rows(ordered.group_peak_flag(df, "v", "p", ["g"]).orderBy("id").select("p"))] == [1, 1, 0, 0]
+    df = spark.createDataFrame([(1, "a", 5.0), (2, "a", 5.0), (3, "a", 1.0), (4, "b", None), (5, None, 2.0)], "id int, g string, v double")
+    assert [r[0] for r in rows(ordered.group_peak_flag(df, "v", "p", ["g"]).orderBy("id").select("p"))] == [1, 1, 0, 0, 1]
 
 
 def test_reshape(spark):
