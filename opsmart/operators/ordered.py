@@ -6,7 +6,7 @@ computed per range partition and shifted by the totals of the ranges before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,14 +61,61 @@ def rank_descending(df: DataFrame, value: str, output: str) -> DataFrame:
     return rows.join(ranks, F.col(value).eqNullSafe(F.col("__value")), "left").drop("__value")
 
 
-def lag_change(df: DataFrame, value: str, output: str, partition: Sequence[str], order: str, rows: int = 1) -> DataFrame:
-    """Difference to the value ``rows`` rows earlier in the partition (rows, not calendar periods).
+def number_rows(df: DataFrame, partition: Sequence[str], order: Sequence[str], output: str) -> DataFrame:
+    """Row number within each group. A group may be spread over many ranges, so no task holds all of a large one.
 
-    Streams through each sorted partition holding only ``rows`` rows. Give it
-    aggregated rows, so that a partition is as long as its calendar.
+    Rows are cut into ranges of (group, order); a range counts its own rows of a
+    group and adds the group's rows in earlier ranges. The result is written, so
+    rows that tie in ``order`` keep their number.
     """
-    window = Window.partitionBy(*partition).orderBy(order)
-    return df.withColumn(output, F.col(value) - F.lag(value, rows).over(window))
+    ranges = materialize(df.repartitionByRange(*partition, *order).withColumn("__range", F.spark_partition_id()))
+    inside = Window.partitionBy("__range", *partition).orderBy(*order)
+    counts = ranges.groupBy("__range", *partition).agg(F.count("*").alias("__rows"))
+    # At most one row per range in a group.
+    earlier = Window.partitionBy(*partition).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    keys = {name: f"__key_{i}" for i, name in enumerate(["__range", *partition])}
+    offsets = counts.select(
+        *[F.col(name).alias(key) for name, key in keys.items()],
+        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
+    )
+    same = [F.col(name).eqNullSafe(F.col(key)) for name, key in keys.items()]
+    return materialize(
+        ranges.withColumn("__inside", F.row_number().over(inside))
+        .join(offsets, same)
+        .withColumn(output, F.col("__inside") + F.col("__before"))
+        .drop("__range", "__inside", "__before", *keys.values())
+    )
+
+
+def lag_changes(
+    df: DataFrame, partition: Sequence[str], order: Sequence[str], changes: Mapping[str, tuple[str, int]]
+) -> DataFrame:
+    """Differences to earlier rows of the same group: output name -> (value, how many rows earlier).
+
+    Rows are counted, not calendar periods. The earlier row is found by its row
+    number, an evenly spread key, so a large group is never held by one task.
+    """
+    numbered = number_rows(df, partition, order, "__n")
+    names = [f"__group_{i}" for i, _ in enumerate(partition)]
+    result = numbered
+    for distance in dict.fromkeys(rows for _, rows in changes.values()):
+        wanted = {out: value for out, (value, rows) in changes.items() if rows == distance}
+        before = numbered.select(
+            (F.col("__n") + distance).alias("__m"),
+            *[F.col(c).alias(n) for c, n in zip(partition, names)],
+            *[F.col(value).alias(f"__before_{out}") for out, value in wanted.items()],
+        )
+        same = [F.col("__n") == F.col("__m"), *[F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]]
+        result = (
+            result.join(before, same, "left")
+            .withColumns({out: F.col(value) - F.col(f"__before_{out}") for out, value in wanted.items()})
+            .drop("__m", *names, *[f"__before_{out}" for out in wanted])
+        )
+    return result.drop("__n")
+
+
+def lag_change(df: DataFrame, value: str, output: str, partition: Sequence[str], order: str, rows: int = 1) -> DataFrame:
+    return lag_changes(df, partition, [order], {output: (value, rows)})
 
 
 def group_peak_flag(df: DataFrame, value: str, output: str, partition: Sequence[str]) -> DataFrame:

@@ -250,9 +250,12 @@ def sales_by_sector(sales: DataFrame) -> DataFrame:
     sales = materialize(sales)
     latest = sales.agg(F.max("sale_month")).scalar()
     sector, month = ["sector"], "sale_month"
-    trend = ordered.lag_change(sales, "sales_mwh", "sales_mwh_mom_change", sector, month)
-    trend = ordered.lag_change(trend, "sales_mwh", "sales_mwh_yoy_change", sector, month, 12)
-    trend = ordered.lag_change(trend, "price_cents_per_kwh", "price_yoy_change_cents", sector, month, 12)
+    changes = {
+        "sales_mwh_mom_change": ("sales_mwh", 1),
+        "sales_mwh_yoy_change": ("sales_mwh", 12),
+        "price_yoy_change_cents": ("price_cents_per_kwh", 12),
+    }
+    trend = ordered.lag_changes(sales, sector, [month], changes)
     trend = ordered.group_peak_flag(trend, "sales_mwh", "is_sector_peak_month", sector)
     return trend.withColumns(
         {

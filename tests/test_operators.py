@@ -92,6 +92,19 @@ def test_lag_counts_rows_not_months(spark):
     assert got[14] == 14.0**2 - 1.0 and got[13] is None
 
 
+def test_lags_of_a_large_group(spark):
+    """One group holds a third of all rows and spans several ranges; one group is NULL."""
+    data = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"g{i % 5}", i, float(i * i % 101)) for i in range(900)]
+    df = spark.createDataFrame(data, "g string, t int, v double").repartition(5)
+    got = {r["t"]: (r["one"], r["twelve"]) for r in ordered.lag_changes(df, ["g"], ["t"], {"one": ("v", 1), "twelve": ("v", 12)}).collect()}
+    assert len(got) == 900
+    seen = {}
+    for g, t, v in data:
+        past = seen.setdefault(g, [])
+        assert got[t] == (v - past[-1] if past else None, v - past[-12] if len(past) >= 12 else None)
+        past.append(v)
+
+
 def test_group_peak(spark):
     df = spark.createDataFrame([(1, "a", 5.0), (2, "a", 5.0), (3, "a", 1.0), (4, "b", None), (5, None, 2.0)], "id int, g string, v double")
     assert [r[0] for r in rows(ordered.group_peak_flag(df, "v", "p", ["g"]).orderBy("id").select("p"))] == [1, 1, 0, 0, 1]
