@@ -18,6 +18,9 @@ from ..session import materialize
 
 SOURCES_PER_BATCH = 2000
 FOLD_ROUNDS = 20
+FOLD_SHARE = 0.01
+MERGE_AFTER = 32
+JOINS_PER_PLAN = 8
 
 
 def arcs(edges: DataFrame, weighted: bool = True) -> DataFrame:
@@ -96,7 +99,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     while joined:
         above = final.select(F.col("node").alias("root"), F.col("root").alias("top"))
         final = joined.pop().join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    final = materialize(final)
+        if len(joined) % JOINS_PER_PLAN == 0:
+            final = materialize(final)
     lowest = final.groupBy("root").agg(F.min("node").alias("component"))
     named = final.join(lowest, "root").select("node", "component")
     return everyone.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
@@ -206,7 +210,8 @@ def shortest_path(edges: DataFrame, source, target) -> DataFrame:
 def _fold_leaves(links: DataFrame, nodes: DataFrame, rounds: int):
     """Fold nodes with one neighbour into it, round by round, without losing them.
 
-    Every node carries ``reach`` (itself plus all nodes folded into it) and
+    Stops when a round would fold few nodes, since each round rewrites all links;
+    what is left unfolded stays in the core. Every node carries ``reach`` (itself plus all nodes folded into it) and
     ``squares`` (sum of squared reaches of the branches folded into it). Returns
     the remaining links, the remaining nodes and the folded nodes of each round.
     """
@@ -219,7 +224,7 @@ def _fold_leaves(links: DataFrame, nodes: DataFrame, rounds: int):
         mutual = single.select(F.col("parent").alias("node"), F.col("node").alias("parent"))
         keep = single.join(mutual, ["node", "parent"], "left_semi").filter("node < parent")
         leaves = materialize(single.join(keep, ["node", "parent"], "left_anti").join(left, "node"))
-        if leaves.isEmpty():
+        if leaves.count() <= FOLD_SHARE * left.count():
             break
         folded.append(leaves)
         gained = leaves.groupBy(F.col("parent").alias("node")).agg(
@@ -240,16 +245,15 @@ def _add_up(frames: list[DataFrame], keys: list[str], value: str) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def _unrolled(start: DataFrame, step, keys: list[str], value: str) -> DataFrame | None:
-    """Sum of ``start`` and of every repeated ``step`` of it until no row is left."""
-    layers, current = [], start
-    while True:
+def _repeated(start: DataFrame, step, keys: list[str], value: str) -> list[DataFrame]:
+    """Results of applying ``step`` again and again until no row is left; many results are added up on the way."""
+    results, current = [], materialize(step(start))
+    while not current.isEmpty():
+        results.append(current)
+        if len(results) > MERGE_AFTER:
+            results = [materialize(_add_up(results, keys, value))]
         current = materialize(step(current))
-        if current.isEmpty():
-            break
-        layers.append(current)
-    frames = layers if start is None else [start, *layers]
-    return materialize(_add_up(frames, keys, value))
+    return results
 
 
 def _dependencies(links: DataFrame, reach: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -264,12 +268,12 @@ def _dependencies(links: DataFrame, reach: DataFrame, sources: DataFrame) -> tup
     )
     # Number of shortest ways to each node, added up over their number of hops.
     origin = sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("ways"))
-    number = _unrolled(
-        origin,
-        lambda now: now.join(ways.withColumnRenamed("src", "node"), ["source", "node"])
-        .groupBy("source", F.col("dst").alias("node")).agg(F.sum("ways").alias("ways")),
-        ["source", "node"], "ways",
+    onward = lambda now: (
+        now.join(ways.withColumnRenamed("src", "node"), ["source", "node"])
+        .groupBy("source", F.col("dst").alias("node")).agg(F.sum("ways").alias("ways"))
     )
+    keys = ["source", "node"]
+    number = materialize(_add_up([origin, *_repeated(origin, onward, keys, "ways")], keys, "ways"))
     into = number.select("source", F.col("node").alias("dst"), F.col("ways").alias("ways_to"))
     outof = number.select("source", F.col("node").alias("src"), F.col("ways").alias("ways_from"))
     share = materialize(
@@ -282,15 +286,8 @@ def _dependencies(links: DataFrame, reach: DataFrame, sources: DataFrame) -> tup
         share.join(now.select("source", F.col("node").alias("dst"), "carried"), ["source", "dst"])
         .groupBy("source", F.col("src").alias("node")).agg(F.sum(F.col("share") * F.col("carried")).alias("carried"))
     )
-    layers, current = [], materialize(back(ends))
-    while not current.isEmpty():
-        layers.append(current)
-        current = materialize(back(current))
-    starts = sources.join(reach.select(F.col("node").alias("source"), F.col("reach").alias("weight")), F.col("node") == F.col("source")).select("source", "weight")
-    if layers:
-        carried = reduce(DataFrame.unionByName, layers)
-    else:
-        carried = current
+    carried = reduce(DataFrame.unionByName, _repeated(ends, back, keys, "carried"), ends.filter(F.lit(False)))
+    starts = reach.select(F.col("node").alias("source"), F.col("reach").alias("weight"))
     through = materialize(
         carried.filter("source != node").join(starts, "source")
         .groupBy("node").agg(F.sum(F.col("weight") * F.col("carried")).alias("through"))

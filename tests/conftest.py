@@ -32,3 +32,12 @@ def column(spark):
         return [r["__x"] for r in df.orderBy(F.col("__i")).collect()]
 
     return run
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Keep small tables in several partitions, as large ones would be."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)

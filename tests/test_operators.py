@@ -66,7 +66,7 @@ def test_shares_and_running_shares(spark):
     assert rows(got.select("k", "share", F.round("run", 1)), "k") == [("a", 50.0, 50.0), ("b", 33.3, 83.3), ("c", 16.7, 100.0)]
 
 
-def test_running_total_and_rank_over_many_ranges(spark):
+def test_running_total_and_rank_over_many_ranges(spark, many_ranges):
     """A third of all rows share one value."""
     values = [float(5 if i % 3 == 0 else i % 17) for i in range(600)]
     df = spark.createDataFrame(list(enumerate(values)), "id int, v double").repartition(7)
@@ -92,7 +92,7 @@ def test_lag_counts_rows_not_months(spark):
     assert got[14] == 14.0**2 - 1.0 and got[13] is None
 
 
-def test_lags_of_a_large_group(spark):
+def test_lags_of_a_large_group(spark, many_ranges):
     """One group holds a third of all rows and spans several ranges; one group is NULL."""
     data = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"g{i % 5}", i, float(i * i % 101)) for i in range(900)]
     df = spark.createDataFrame(data, "g string, t int, v double").repartition(5)
