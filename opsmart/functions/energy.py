@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
-from .core import band, category, col, flag, in_flag, lookup, rounded_ratio
+from .core import band, category, col, in_flag, lookup, rounded_ratio
 
 
 def load_tier(peak: Column | str) -> Column:
