@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets
+from . import packing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,9 +40,34 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces, 2048)
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Word and line counts of every document, the fixed rules and the trees' verdict."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    judged = quality.judge(docs, quality.fit_quality(docs, labels))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *first, "base_failed", "kept", "quality")
+
+
+def _remainder(of: int) -> Column:
+    """crc32 of the id as text, mod ``of``; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document; labels of a quarter of the ids are held out."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.fit_toxicity(docs, labels.filter(_remainder(4) != 2))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
