@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, toxicity
+from . import packing, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,11 +63,18 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and its group under links of at most four differing bits."""
+    found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=4, max_bits=4, seed=42)
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLE: dict[str, str] = {}
