@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, simhash, toxicity
+from . import chunks, packing, quality, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 20 and more words that several documents share, and the first document that has each."""
+    return chunks.repeated_passages(_table(spark, folder, "documents")).drop("row")
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and its group under links of at most four differing bits."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=4, max_bits=4, seed=42)
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_simhash": op8_simhash,
 }
 
