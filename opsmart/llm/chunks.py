@@ -33,11 +33,12 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_arrays(texts: Texts, mean_words: int) -> dict[str, np.ndarray]:
+def chunk_arrays(texts: Texts, mean_words: int, max_words: int = 16) -> dict[str, np.ndarray]:
     """Chunks of all texts: a chunk ends with a word at which the rolling hash is small, or with the text.
 
     The hash sees the bytes of the words with one space between them, so the ends follow the content: an
-    insertion moves the ends near it and no others.
+    insertion moves the ends near it and no others. Where none comes for ``max_words`` words, as in a word said over
+    and over, a chunk ends there too.
     """
     words, n = Words.of(texts), len(texts)
     lengths, owner = words.ends - words.starts, words.owner
@@ -51,6 +52,9 @@ def chunk_arrays(texts: Texts, mean_words: int) -> dict[str, np.ndarray]:
     closes = at_end < np.uint32((1 << 32) // mean_words)
     closes[words.bounds[1:][words.counts > 0] - 1] = True
     last = np.flatnonzero(closes)
+    since = np.arange(len(owner)) - np.repeat(np.concatenate([[0], last[:-1] + 1]), np.diff(last, prepend=-1)) if len(last) else last
+    closes |= since % max_words == max_words - 1
+    last = np.flatnonzero(closes)
     first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
     size = last - first + 1
     place = np.arange(len(owner)) - np.repeat(first, size)
