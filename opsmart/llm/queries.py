@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chunks, packing, quality, secrets, simhash, toxicity, urls
+from . import chat, chunks, lm, packing, quality, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +68,13 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.repeated_passages(_table(spark, folder, "documents")).drop("row")
 
 
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document under counts of six sevenths of the ids."""
+    docs = _table(spark, folder, "documents")
+    scored = lm.score_texts(docs, lm.fit_ngrams(docs.filter(_remainder(7) != 2)))
+    return scored.select("doc_id", (_remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and its group under links of at most four differing bits."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"), shingle=4, max_bits=4, seed=42)
@@ -115,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_lm_score": op7_lm_score,
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
