@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chunks, lm, packing, quality, secrets, simhash, toxicity, urls
+from . import chat, chunks, decontaminate, lm, packing, quality, secrets, simhash, toxicity, urls
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def _remainder(of: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item; clean documents have no row."""
+    return decontaminate.contaminations(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document; labels of a quarter of the ids are held out."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_lm_score": op7_lm_score,
