@@ -281,9 +281,10 @@ def pack(df: DataFrame, size: int = 2048, length_col: str = "length") -> DataFra
     per length, is handed to all tasks, where a piece finds its place from its rank among those of its length.
     Ranks are counted within tasks and shifted by the counts of the tasks before, so a length that a third
     of all pieces share costs no more than any other. Repeated rows get places of their own.
-    Lengths that are null or below 1 or above ``size`` are an error. An empty table gives an empty one.
+    Lengths that are null or below 1 or above ``size`` are an error. Columns called ``sequence_id`` and ``offset`` are replaced. An empty table gives an empty one.
     """
     spark = df.sparkSession
+    df = df.drop("sequence_id", "offset")
     at = df.columns.index(length_col)
     schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", __part int, __place long"
 

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, bounded_sample, id_and_text, materialize
@@ -134,6 +134,14 @@ def _stem_rows(chosen: DataFrame) -> DataFrame:
     )
 
 
+def _surprise(a: Column, of_a: int, b: Column, of_b: int) -> Column:
+    """Root of the likelihood ratio of two shares against a common one: about a normal deviate, also for rare stems."""
+    part = lambda x, n: F.when(x > 0, x * F.log(x * (of_a + of_b) / n)).otherwise(0.0)
+    both, rest = a + b, of_a + of_b - a - b
+    ratio = part(a, both * of_a) + part(b, both * of_b) + part(of_a - a, rest * of_a) + part(of_b - b, rest * of_b)
+    return F.sqrt(F.greatest(2 * ratio, F.lit(0.0)))
+
+
 def _heads(texts: Texts, words: Words):
     """A function from a length to the first so many bytes of each word, as numbers."""
     padded = np.concatenate([texts.data, np.zeros(8, np.uint8)])
@@ -177,7 +185,7 @@ def fit_toxicity(
     if not toxic[0] or not ordinary[0]:
         return empty
     odds = F.log((F.col("toxic") + 0.5) / (toxic[0] + 1)) - F.log((F.col("ordinary") + 0.5) / (ordinary[0] + 1))
-    surprise = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("ordinary") + 0.5))
+    surprise = _surprise(F.col("toxic"), toxic[0], F.col("ordinary"), ordinary[0])
     told = _stem_rows(distinct).filter((odds > np.log(8)) & (surprise > 5))
     told = told.orderBy(surprise.desc(), "size", "stem").limit(s.stems).collect()
     stems = {n: np.sort(np.array([r["stem"] for r in told if r["size"] == n], np.int64).astype(np.uint64)) for n in STEMS}
