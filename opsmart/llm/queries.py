@@ -69,7 +69,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages of 20 and more words that several documents share, and the first document that has each."""
+    """Passages of 15 and more words that several documents share, and the first document that has each."""
     return chunks.repeated_passages(_table(spark, folder, "documents")).drop("row")
 
 

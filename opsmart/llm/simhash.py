@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import arrow_map, id_and_text, materialize
@@ -254,9 +255,13 @@ def near_duplicates(
 def drop_near_duplicates(
     df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of each group, the one with the smallest id; of repeated ids the first by text. Rows without an id stay."""
+    """One row of each group: that of the document with the smallest id.
+
+    Rows with the same id are one document, whose first text in order stays. Rows without an id all stay.
+    """
     groups = near_duplicates(df, shingle, max_bits, id_col=id_col, text_col=text_col)
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
     ident = F.col(f"`{id_col}`")
-    chosen = df.join(kept, ident == F.col("__kept"), "left").filter(F.col("__kept").isNotNull() | ident.isNull())
-    return chosen.drop("__kept")
+    of_id = W.partitionBy("__kept").orderBy(F.col(f"`{text_col}`"))
+    chosen = df.join(kept, ident == F.col("__kept")).withColumn("__nth", F.row_number().over(of_id)).filter("__nth = 1")
+    return chosen.drop("__kept", "__nth").unionByName(df.filter(ident.isNull()))
