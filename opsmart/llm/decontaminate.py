@@ -23,18 +23,24 @@ FEATURES_AT_ONCE = 4096
 
 @dataclass(frozen=True)
 class Settings:
-    """``stride``: words of half a passage. ``items`` and ``fit_texts`` bound what is handed out and fitted at once."""
+    """``stride``: words of half a passage. ``items`` bounds the benchmark items of one latent space, ``indexes`` those in a pass.
+
+    A latent space has a dimension for each of its passages (``rank`` at most), so that none of them is lost in it.
+    Terms in more than ``common`` of the documents have no weight, unless an item has fewer than ``least_terms`` others.
+    """
 
     stride: int = 24
-    rank: int = 128
+    rank: int = 512
     extra: int = 16
     rounds: int = 2
-    cosine: float = 0.35
+    cosine: float = 0.2
     share: float = 0.8
     paraphrase_share: float = 0.6
     answer_words: int = 5
-    items: int = 10_000
-    fit_texts: int = 2_000
+    items: int = 256
+    indexes: int = 8
+    common: float = 0.1
+    least_terms: int = 8
 
 
 def word_hashes(texts: Texts) -> tuple[Words, np.ndarray]:
@@ -86,17 +92,28 @@ def _passages(rows: list, settings: Settings) -> list[Passage]:
 
 @dataclass
 class Index:
-    """Passages of some benchmark items in the latent space: ``terms`` to rows of ``latent``, and unit vectors of passages."""
+    """Passages of some benchmark items in the latent space: ``terms`` to rows of ``latent``, and unit vectors of passages.
+
+    ``unseen`` is the weight of a word that no item has; it counts in the length of a passage's vector.
+    """
 
     settings: Settings
     passages: list[Passage]
     terms: np.ndarray
+    weights: np.ndarray
     latent: np.ndarray
     vectors: np.ndarray
+    unseen: float
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         return _places(self.terms, hashes)
 
+    @property
+    def bounds(self) -> np.ndarray:
+        """Least cosine for each passage; one shorter than two halves fills less of the vector, as the root of its length."""
+        lengths = np.array([len(p.words) for p in self.passages])
+        return self.settings.cosine * np.sqrt(np.minimum(lengths / (2 * self.settings.stride), 1)).astype(np.float32)
+
 
 def _places(terms: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Index of each hash in sorted ``terms``, -1 for others."""
@@ -143,7 +160,7 @@ def _document_counts(docs: DataFrame, terms: Broadcast) -> DataFrame:
 
 
 def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.ndarray, stride: int) -> np.ndarray:
-    """A' A v for the TF-IDF rows A of all half passages of ``texts``; tasks add up their rows, Spark adds up tasks."""
+    """A' A v for the TF-IDF rows A of all runs of ``stride`` words of ``texts``; tasks add up their rows, Spark adds up tasks."""
     shared = texts.sparkSession.sparkContext.broadcast((terms, idf, v))
     width = v.shape[1]
 
@@ -179,33 +196,34 @@ def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.nd
     return out
 
 
-def fit_index(docs: DataFrame, sample: DataFrame, items: DataFrame, rows: list, settings: Settings) -> Index | None:
-    """Index of the benchmark items ``rows``: vocabulary, document frequencies over all ``docs``, randomised SVD.
+def fit_index(items: DataFrame, passages: list[Passage], terms: np.ndarray, idf: np.ndarray, unseen: float, s: Settings) -> Index:
+    """Latent space of some benchmark items by randomised SVD.
 
-    The matrix has the TF-IDF weights of the items' terms in all half passages of the items and of ``sample``. Its leading
-    right singular vectors come from subspace iteration on a random start, each product summed over tasks.
+    The matrix has the TF-IDF weights of the items' terms in all passages of the items. Its leading right
+    singular vectors come from subspace iteration on a random start; each product is summed over tasks.
     """
-    s, spark = settings, docs.sparkSession
-    passages = _passages(rows, s)
-    if not passages:
-        return None
-    terms = np.unique(np.array([w for p in passages for w in p.words], np.uint64))
-    found = _document_counts(docs, spark.sparkContext.broadcast(terms)).toPandas()
-    n = np.zeros(len(terms))
-    n[found["term"].to_numpy(np.int64)] = found["n"].to_numpy()
-    idf = np.log((docs.count() + 1) / (n + 1)) + 0.1
-    width = min(s.rank + s.extra, len(terms))
+    weights = idf.copy()
+    for p in passages:  # an item of common terms only keeps its rarest ones
+        own = np.searchsorted(terms, np.unique(np.array(p.words, np.uint64)))
+        if (weights[own] > 0).sum() < s.least_terms:
+            rarest = own[np.argsort(-np.abs(idf[own]))[:s.least_terms]]
+            weights[rarest] = np.abs(idf[rarest])
+    weights = np.maximum(weights, 0)
+    used = np.flatnonzero(weights)
+    terms, weights = terms[used], weights[used]
+    rank = min(s.rank, len(passages), len(terms))
+    width = min(rank + s.extra, len(terms))
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(terms), width)))[0]
-    texts = items.unionByName(sample)
     for _ in range(s.rounds):
-        basis = np.linalg.qr(_gram_product(texts, terms, idf, basis, s.stride))[0]
-    small = basis.T @ _gram_product(texts, terms, idf, basis, s.stride)
+        basis = np.linalg.qr(_gram_product(items, terms, weights, basis, 4 * s.stride))[0]
+    small = basis.T @ _gram_product(items, terms, weights, basis, 4 * s.stride)
     _, turn = np.linalg.eigh((small + small.T) / 2)
-    axes = basis @ turn[:, ::-1][:, :s.rank]
-    latent = (axes * idf[:, None]).astype(np.float32)
-    vectors = np.array([latent[np.searchsorted(terms, np.array(p.words, np.uint64))].sum(axis=0) for p in passages])
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return Index(s, passages, terms, latent, vectors.astype(np.float32))
+    latent = ((basis @ turn[:, ::-1][:, :rank]) * weights[:, None]).astype(np.float32)
+    vectors = np.zeros((len(passages), rank))
+    for i, p in enumerate(passages):
+        at = _places(terms, np.array(p.words, np.uint64))
+        vectors[i] = latent[at[at >= 0]].sum(axis=0) / max(np.sqrt((weights[at[at >= 0]] ** 2).sum()), 1e-9)
+    return Index(s, passages, terms, weights, latent, vectors.astype(np.float32), unseen)
 
 
 def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, bool]]:
@@ -220,6 +238,7 @@ def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float,
     words, hashes = word_hashes(Texts.of(column, lower=True))
     places = index.places(hashes)
     inside = np.flatnonzero(places >= 0)
+    squares = np.concatenate([[0], np.cumsum(np.append(index.weights**2, index.unseen**2)[places])])
     first, last, owner = _half_passages(words.bounds, s.stride)
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
     for at in range(0, len(first), BLOCKS_AT_ONCE):
@@ -232,9 +251,12 @@ def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float,
         # the last half of a text is in the passage before, unless it is the only one
         lead = np.append(at == 0 or owner[at - 1] != own[0], own[1:] != own[:-1])
         use = np.flatnonzero((paired | lead) & (np.arange(len(own)) + at < at + BLOCKS_AT_ONCE))
-        norm = np.maximum(np.linalg.norm(whole[use], axis=1, keepdims=True), 1e-9)
+        half_square = squares[last[at:stop]] - squares[first[at:stop]]
+        square = half_square.copy()
+        square[:-1][paired[:-1]] += half_square[1:][paired[:-1]]
+        norm = np.sqrt(np.maximum(square[use], 1e-9))[:, None].astype(np.float32)
         cosines = (whole[use] / norm) @ index.vectors.T
-        for i, j in zip(*np.nonzero(cosines >= s.cosine)):
+        for i, j in zip(*np.nonzero(cosines >= index.bounds)):
             half, passage = at + use[i], index.passages[j]
             text = int(owner[half])
             reach = len(passage.words)
@@ -256,21 +278,38 @@ def _stands_in(words: list[int], around: list[int]) -> bool:
     return any(around[i] == words[0] and around[i:i + n] == words for i in range(len(around) - n + 1))
 
 
-def _indexes(docs: DataFrame, benchmark: DataFrame, settings: Settings, item_col: str, text_col: str, answer_col: str | None):
-    """An index for each block of at most about ``settings.items`` items."""
+def _indexes(
+    docs: DataFrame, benchmark: DataFrame, settings: Settings, item_col: str, text_col: str, answer_col: str | None
+) -> Iterator[list[Index]]:
+    """Indexes of all items, as many at a time as go through the documents together."""
     s = settings
     answer = F.coalesce(F.col(f"`{answer_col}`").cast("string"), F.lit("")) if answer_col else F.lit("")
     items = id_and_text(benchmark.withColumn("__answer", answer), item_col, text_col, "__answer").dropna(subset=["doc_id"])
     items = materialize(items.distinct())
-    total, texts = items.count(), docs.count()
-    blocks = max(1, -(-total // s.items))
-    chosen = F.pmod(F.xxhash64("text"), F.lit(max(texts, s.fit_texts))) < s.fit_texts
-    sample = materialize(docs.filter(chosen).select(F.lit(0).cast("long").alias("doc_id"), "text").distinct()) if total else None
-    for block in range(blocks if total else 0):
-        own = items.filter(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block)
-        rows = [tuple(r) for r in own.orderBy("doc_id", "text", "__answer").collect()]
-        if index := fit_index(docs, sample, own.select("doc_id", "text"), rows, s):
-            yield index
+    total = items.count()
+    blocks = -(-total // s.items)
+    texts = docs.count() if total else 0
+    for start in range(0, blocks, s.indexes):
+        parts = []
+        for block in range(start, min(start + s.indexes, blocks)):
+            own = items.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == block)
+            passages = _passages([tuple(r) for r in own.orderBy("doc_id", "text", "__answer").collect()], s)
+            if passages:
+                parts.append((own.select("doc_id", "text"), passages))
+        if not parts:
+            continue
+        terms = np.unique(np.array([w for _, passages in parts for p in passages for w in p.words], np.uint64))
+        found = _document_counts(docs, docs.sparkSession.sparkContext.broadcast(terms)).toPandas()
+        n = np.zeros(len(terms))
+        n[found["term"].to_numpy(np.int64)] = found["n"].to_numpy()
+        idf = np.log((texts + 1) / (n + 1)) + 0.1
+        idf = np.where(n > s.common * texts, -idf, idf)  # below zero: common
+        unseen = float(np.log(texts + 1) + 0.1)
+        indexes = []
+        for own, passages in parts:
+            at = np.searchsorted(terms, np.unique(np.array([w for p in passages for w in p.words], np.uint64)))
+            indexes.append(fit_index(own, passages, terms[at], idf[at], unseen, s))
+        yield indexes
 
 
 def contaminations(
@@ -280,23 +319,23 @@ def contaminations(
     """(doc_id, item_id, cosine, share, answer) for each document and benchmark item found in it, once each.
 
     The answer of an item is ``answer_col``, or else its last ``answer_words`` words. All passages of all whole texts are
-    searched; the benchmark is a stated set of queries and is taken in blocks of bounded size. Items of more than twice a passage
+    searched; the benchmark is a stated set of queries, taken in blocks of ``items``, so that what is broadcast is bounded. Items of more than twice a passage
     are searched in parts, and a part that is found counts. Null and empty texts hold nothing, items without id or
     words are left out, rows with a null id are reported with it, repeated rows once.
     """
     known = id_and_text(docs, id_col, text_col)
     schema = "doc_id long, item_id long, cosine double, share double, answer boolean"
     out = None
-    for index in _indexes(known, benchmark, settings, item_col, item_text_col, answer_col):
-        shared = known.sparkSession.sparkContext.broadcast(index)
+    for indexes in _indexes(known, benchmark, settings, item_col, item_text_col, answer_col):
+        shared = known.sparkSession.sparkContext.broadcast(indexes)
 
         def rows(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[dict]:
             for batch in batches:
-                for part in slices(batch, 1, 1 << 20):
-                    found = find_matches(shared.value, part.column(1))
+                for part, index in ((p, i) for p in slices(batch, 1, 1 << 20) for i in shared.value):
+                    found = find_matches(index, part.column(1))
                     yield {
                         "doc_id": part.column(0).take(pa.array([f[0] for f in found], pa.int64())),
-                        "item_id": [shared.value.passages[f[1]].item for f in found], "cosine": [f[2] for f in found],
+                        "item_id": [index.passages[f[1]].item for f in found], "cosine": [f[2] for f in found],
                         "share": [f[3] for f in found], "answer": [f[4] for f in found],
                     }
 
@@ -316,14 +355,15 @@ def drop_contaminated(
     place = df.columns.index(text_col)
     texts = df.select(F.lit(0).cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     out = df
-    for index in _indexes(texts, benchmark, settings, item_col, item_text_col, answer_col):
-        shared = df.sparkSession.sparkContext.broadcast(index)
+    for indexes in _indexes(texts, benchmark, settings, item_col, item_text_col, answer_col):
+        shared = df.sparkSession.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, place, 1 << 20):
                     kept = np.ones(part.num_rows, bool)
-                    kept[[f[0] for f in find_matches(shared.value, part.column(place))]] = False
+                    for index in shared.value:
+                        kept[[f[0] for f in find_matches(index, part.column(place))]] = False
                     if kept.any():
                         yield part.filter(pa.array(kept))
 
