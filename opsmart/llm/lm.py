@@ -26,7 +26,7 @@ class Settings:
     head_words: int = 1 << 18
     block_bytes: int = 48 << 20
     shard_tokens: int = 1 << 17
-    flush_tokens: int = 2_000_000
+    flush_tokens: int = 1_000_000
     bits_per_entry: int = 12
     probes: int = 6
     weight: float = 30.0
