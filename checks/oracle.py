@@ -24,12 +24,17 @@ def even(x: str, n: int) -> str:
     return f"CAST(round_even(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
-def total(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def exact(x: str) -> str:
+    """The decimal text of a number with twelve digits, far more than any measurement has, so sums ignore order."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12))"
 
 
-def mean(x: str, scale: int = 2) -> str:
-    return f"({total(x, scale)} / nullif(count({x}), 0))"
+def total(x: str) -> str:
+    return f"CAST(sum({exact(x)}) AS DOUBLE)"
+
+
+def mean(x: str) -> str:
+    return f"({total(x)} / nullif(count({x}), 0))"
 
 
 def text(value) -> str:
@@ -146,7 +151,7 @@ STEP["saf"] = f"""SELECT *, CASE WHEN observation_type = 'Positive Observation'
     {year('obs_date')} AS year, {month('obs_date')} AS month_num FROM raw_saf"""
 
 STEP["out_day"] = f"""SELECT outage_date AS day, city_name, count(*) AS n_out, CAST(sum(customers_affected) AS BIGINT) AS customers,
-    {total('customer_minutes_lost', 0)} AS cml, {rnd(mean('duration_hours'), 2)} AS hours, max(outage_severity_score) AS worst,
+    {total('customer_minutes_lost')} AS cml, {rnd(mean('duration_hours'), 2)} AS hours, max(outage_severity_score) AS worst,
     CAST(sum(is_weather_driven) AS BIGINT) AS weather_n, count(*) FILTER (outage_type = 'Unplanned') AS unplanned
     FROM out GROUP BY ALL"""
 STEP["wf_day"] = f"""SELECT work_date AS day, city_name, count(*) AS crews, {total('hours_worked')} AS hours,
@@ -177,12 +182,12 @@ WF = ["raw_wf", "paid", "wf"]
 SAF = ["raw_saf", "saf"]
 DAILY = [*WEATHER, *OUT, *WF, *SAF, "out_day", "wf_day", "saf_day", "daily"]
 
-STEP["city"] = f"""SELECT city_name, count(*) AS total_days, {rnd(mean('total_outages', 4), 2)} AS avg_daily_outages,
-    {total('total_outages', 0)} AS total_outages, {rnd(mean('total_customer_minutes_lost', 4), 0)} AS avg_customer_minutes_lost,
-    {total('total_customer_minutes_lost', 0)} AS total_customer_minutes_lost, {rnd(mean('total_crews_deployed', 4), 2)} AS avg_crews_per_day,
-    {total('total_labor_cost')} AS total_labor_cost, {rnd(mean('operational_stress_score', 4), 3)} AS avg_stress_score,
-    max(operational_stress_score) AS peak_stress_score, {rnd(mean('temp_avg_f', 4), 1)} AS avg_temperature_f,
-    {rnd(mean('heating_degree_days', 4), 1)} AS avg_heating_degree_days, {rnd(mean('cooling_degree_days', 4), 1)} AS avg_cooling_degree_days
+STEP["city"] = f"""SELECT city_name, count(*) AS total_days, {rnd(mean('total_outages'), 2)} AS avg_daily_outages,
+    {total('total_outages')} AS total_outages, {rnd(mean('total_customer_minutes_lost'), 0)} AS avg_customer_minutes_lost,
+    {total('total_customer_minutes_lost')} AS total_customer_minutes_lost, {rnd(mean('total_crews_deployed'), 2)} AS avg_crews_per_day,
+    {total('total_labor_cost')} AS total_labor_cost, {rnd(mean('operational_stress_score'), 3)} AS avg_stress_score,
+    max(operational_stress_score) AS peak_stress_score, {rnd(mean('temp_avg_f'), 1)} AS avg_temperature_f,
+    {rnd(mean('heating_degree_days'), 1)} AS avg_heating_degree_days, {rnd(mean('cooling_degree_days'), 1)} AS avg_cooling_degree_days
     FROM daily GROUP BY city_name"""
 STEP["ranked"] = f"""SELECT *, rank() OVER (ORDER BY avg_stress_score DESC NULLS LAST) AS stress_rank,
     {ladder('avg_stress_score', rules.CITY_RISK_LABEL, rules.CITY_RISK_LABEL_ELSE)} AS risk_label FROM city"""
@@ -198,8 +203,8 @@ STEP["spend_mart"] = f"""SELECT * RENAME (city AS city_name), monthname(make_dat
     {season('spend_month')} AS season, {flag('amount_usd > 20000')} AS is_high_spend FROM sp"""
 
 STEP["meter"] = "SELECT CAST(ts AS DATE) AS date, value * 15 AS mwh FROM events"
-STEP["raw_dem"] = f"""SELECT date, {even(total('mwh', 4), 1)} AS total_demand_mwh, {even('max(mwh)', 1)} AS peak_demand_mwh,
-    {even(mean('mwh', 4), 1)} AS avg_demand_mwh, {even('min(mwh)', 1)} AS min_demand_mwh, CAST(count(mwh) AS INTEGER) AS hours_reported
+STEP["raw_dem"] = f"""SELECT date, {even(total('mwh'), 1)} AS total_demand_mwh, {even('max(mwh)', 1)} AS peak_demand_mwh,
+    {even(mean('mwh'), 1)} AS avg_demand_mwh, {even('min(mwh)', 1)} AS min_demand_mwh, CAST(count(mwh) AS INTEGER) AS hours_reported
     FROM meter GROUP BY date"""
 STEP["tiered"] = f"SELECT *, {ladder('peak_demand_mwh', rules.LOAD_TIER, rules.LOAD_TIER_ELSE)} AS load_tier FROM raw_dem"
 STEP["dem"] = f"""SELECT date AS demand_date, * EXCLUDE (date), dayname(date) AS day_of_week, {flag('dayofweek(date) IN (0, 6)')} AS is_weekend,
@@ -224,8 +229,8 @@ STEP["fuels"] = f"""SELECT fuel_category, fuel_type, state, period, count(*) AS
     {rnd(mean('net_summer_capacity_mw'), 1)} AS avg_generator_size_mw, max(net_summer_capacity_mw) AS largest_generator_mw,
     max(is_clean_energy) AS is_clean_energy, max(is_dispatchable) AS is_dispatchable FROM fleet GROUP BY ALL"""
 STEP["shares"] = f"""SELECT * EXCLUDE (net), {rnd('net', 0)} AS total_net_capacity_mw,
-    {rnd(f"net / (SELECT {total('net', 4)} FROM fuels) * 100", 1)} AS fleet_share_pct FROM fuels"""
-STEP["mix"] = f"""SELECT *, {rnd("CAST(sum(CAST(fleet_share_pct AS DECIMAL(18,4))) OVER (ORDER BY total_net_capacity_mw DESC, fuel_category, fuel_type, state, period ROWS UNBOUNDED PRECEDING) AS DOUBLE)", 1)} AS cumulative_share_pct,
+    {rnd(f"net / (SELECT {total('net')} FROM fuels) * 100", 1)} AS fleet_share_pct FROM fuels"""
+STEP["mix"] = f"""SELECT *, {rnd("CAST(sum(CAST(CAST(fleet_share_pct AS VARCHAR) AS DECIMAL(38,12))) OVER (ORDER BY total_net_capacity_mw DESC, fuel_category, fuel_type, state, period ROWS UNBOUNDED PRECEDING) AS DOUBLE)", 1)} AS cumulative_share_pct,
     {ladder('fleet_share_pct', rules.GRID_DEPENDENCY_LABEL, rules.GRID_DEPENDENCY_LABEL_ELSE)} AS grid_dependency_label FROM shares"""
 MIX = ["gen", "fleet", "fuels", "shares", "mix"]
 
@@ -256,11 +261,11 @@ STEP["trend"] = f"""SELECT * EXCLUDE (state_id, state_name, revenue_million_usd,
     FROM sales WINDOW w AS (PARTITION BY sector ORDER BY sale_month)"""
 SALES = ["wide", "long", "sales"]
 
-STEP["state_day"] = f"""SELECT weather_date, {rnd(mean('temp_avg_f', 4), 1)} AS temp_avg_f, {rnd(mean('temp_max_f', 4), 1)} AS temp_max_f,
-    {rnd(mean('temp_min_f', 4), 1)} AS temp_min_f, {rnd(mean('wind_speed_max_mph', 4), 1)} AS wind_speed_max_mph,
-    {rnd(mean('precipitation_inches', 4), 2)} AS avg_precipitation_inches,
-    {rnd(f"CASE WHEN {mean('temp_avg_f', 4)} >= 65 THEN {mean('temp_avg_f', 4)} - 65 ELSE 0.0::DOUBLE END", 1)} AS cooling_degree_days,
-    {rnd(f"CASE WHEN {mean('temp_avg_f', 4)} <= 65 THEN 65 - {mean('temp_avg_f', 4)} ELSE 0.0::DOUBLE END", 1)} AS heating_degree_days
+STEP["state_day"] = f"""SELECT weather_date, {rnd(mean('temp_avg_f'), 1)} AS temp_avg_f, {rnd(mean('temp_max_f'), 1)} AS temp_max_f,
+    {rnd(mean('temp_min_f'), 1)} AS temp_min_f, {rnd(mean('wind_speed_max_mph'), 1)} AS wind_speed_max_mph,
+    {rnd(mean('precipitation_inches'), 2)} AS avg_precipitation_inches,
+    {rnd(f"CASE WHEN {mean('temp_avg_f')} >= 65 THEN {mean('temp_avg_f')} - 65 ELSE 0.0::DOUBLE END", 1)} AS cooling_degree_days,
+    {rnd(f"CASE WHEN {mean('temp_avg_f')} <= 65 THEN 65 - {mean('temp_avg_f')} ELSE 0.0::DOUBLE END", 1)} AS heating_degree_days
     FROM days GROUP BY weather_date"""
 STEP["common"] = """SELECT weather_date, weather_description AS dominant_weather FROM (
     SELECT weather_date, weather_description, row_number() OVER (PARTITION BY weather_date ORDER BY count(*) DESC, weather_description) AS k
@@ -292,8 +297,6 @@ STEP["arc"] = """SELECT source_node AS a, target_node AS b, distance_miles AS w
     UNION ALL SELECT target_node, source_node, distance_miles FROM edge"""
 STEP["deg"] = """SELECT node_id, count(b) AS degree, count(b) / ((SELECT count(*) FROM node) - 1) AS raw_degree
     FROM node LEFT JOIN (SELECT DISTINCT a, b FROM arc) ON node_id = a GROUP BY node_id"""
-STEP["plain"] = f"""SELECT node.*, {even('raw_degree', 4)} AS degree_centrality, {rnd('capacity_mw / 2500', 4)} AS betweenness_centrality
-    FROM node JOIN deg USING (node_id)"""
 STEP["stats"] = f"""SELECT node_id, CAST(sum(n) AS BIGINT) AS connected_lines, CAST(sum(mw) AS BIGINT) AS total_edge_capacity_mw,
     {rnd(mean('miles'), 1)} AS avg_line_distance_miles, max(big) AS max_single_line_capacity FROM (
     SELECT source_node AS node_id, count(*) AS n, sum(capacity_mw) AS mw, {rnd(mean('distance_miles'), 1)} AS miles, max(capacity_mw) AS big FROM edge GROUP BY 1
@@ -305,8 +308,8 @@ _node_mart = f"""SELECT n.*, {ladder('betweenness_centrality', rules.CRITICALITY
     {rnd('degree_centrality * 50 + betweenness_centrality * 50', 1)} AS network_importance_score,
     {rnd('ifnull(total_edge_capacity_mw, 0) / nullif(capacity_mw, 0) * 100', 1)} AS throughput_ratio_pct
     FROM {{}} n LEFT JOIN stats USING (node_id)"""
-STEP["plain_mart"] = _node_mart.format("plain")
-GRID = ["home", "node", "edge", "arc", "deg", "plain", "stats", "plain_mart"]
+GRID_MART = _node_mart.format("scored_node")
+GRID = ["home", "node", "edge", "arc", "deg", "stats"]
 
 STEP["supply_node"] = "SELECT -1 - s_suppkey AS node FROM supplier UNION ALL SELECT p_partkey FROM part"
 STEP["supply_arc"] = """SELECT a, b, min(w) AS w FROM (
@@ -346,6 +349,19 @@ def distances_from(start: str, arcs: str) -> str:
         WHERE r.d IS NULL OR f.d + x.w < r.d GROUP BY f.s, x.b)"""
 
 
+# Both centralities of the network, after the steps of GRID.
+GRID_SCORES = distances_from("SELECT node_id, node_id, CAST(0 AS BIGINT) FROM node", "arc") + f""",
+    step AS (SELECT p.s, x.a, x.b FROM arc x JOIN dist p ON p.v = x.a JOIN dist q ON q.s = p.s AND q.v = x.b WHERE p.d + x.w = q.d),
+    way AS (SELECT node_id AS s, node_id AS t, [node_id] AS path FROM node
+        UNION ALL SELECT way.s, b, list_append(path, b) FROM way JOIN step ON step.s = way.s AND step.a = way.t),
+    many AS (SELECT s, t, count(*) AS n FROM way GROUP BY s, t),
+    inner_node AS (SELECT unnest(path[2:-2]) AS node_id, 1.0 / n AS part FROM way JOIN many USING (s, t) WHERE len(path) > 2),
+    score AS (SELECT node_id, sum(part) / ((SELECT count(*) FROM node) - 1) / ((SELECT count(*) FROM node) - 2) AS bc FROM inner_node GROUP BY 1),
+    scored_node AS (SELECT node.*, {even('raw_degree', 4)} AS degree_centrality,
+        {even('round(CAST(ifnull(bc, 0) AS DOUBLE), 11)', 4)} AS betweenness_centrality
+        FROM node JOIN deg USING (node_id) LEFT JOIN score USING (node_id))"""
+
+
 def context(fact: str, day: str, columns: str) -> str:
     return f"SELECT f.*, {columns} FROM {fact} f LEFT JOIN days d ON d.weather_date = f.{day} AND d.city_name = f.city_name"
 
@@ -422,7 +438,7 @@ ORACLE: dict[str, str] = {
         CAST(date_trunc('month', day) AS DATE) AS period_month, {season('month(day)')} AS season,
         {season('nullif(month(day), 1)', True)} AS season_else_fall, {season('nullif(month(day), 1)')} AS season_or_null
         FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders)""",
-    "q13_grid_operations": sql(GRID, "SELECT * FROM plain_mart"),
+    "q13_grid_operations": sql(GRID, GRID_MART, GRID_SCORES),
     "q14_generator_mix": sql(MIX, "SELECT * FROM mix"),
     "q15_sales_by_sector": sql([*SALES, "trend"], "SELECT * FROM trend"),
     "q16_edge_classes": sql(["edge"], CLASSED),
@@ -434,8 +450,8 @@ ORACLE: dict[str, str] = {
     ),
     "q18_seasonal": sql(
         DAILY,
-        f"""SELECT season, count(*) AS total_days, {rnd(mean('total_outages', 4), 2)} AS avg_outages,
-        {rnd(mean('total_customer_minutes_lost', 4), 0)} AS avg_cml, {rnd(mean('operational_stress_score', 4), 3)} AS avg_stress,
+        f"""SELECT season, count(*) AS total_days, {rnd(mean('total_outages'), 2)} AS avg_outages,
+        {rnd(mean('total_customer_minutes_lost'), 0)} AS avg_cml, {rnd(mean('operational_stress_score'), 3)} AS avg_stress,
         {total('total_labor_cost')} AS total_labor_cost FROM daily GROUP BY season""",
     ),
     "q19_grid_by_city": sql(
@@ -443,8 +459,9 @@ ORACLE: dict[str, str] = {
         f"""SELECT r.city_name, stress_rank, risk_label, avg_stress_score, avg_daily_outages, facility_count, total_capacity_mw,
         avg_importance_score, avg_betweenness FROM ranked r LEFT JOIN (
         SELECT city, count(*) AS facility_count, CAST(sum(capacity_mw) AS BIGINT) AS total_capacity_mw,
-        {rnd(mean('network_importance_score', 4), 1)} AS avg_importance_score, {rnd(mean('betweenness_centrality', 4), 3)} AS avg_betweenness
-        FROM plain_mart GROUP BY city) g ON g.city = replace(r.city_name, '_', ' ')""",
+        {rnd(mean('network_importance_score'), 1)} AS avg_importance_score, {rnd(mean('betweenness_centrality'), 3)} AS avg_betweenness
+        FROM ({GRID_MART}) GROUP BY city) g ON g.city = replace(r.city_name, '_', ' ')""",
+        GRID_SCORES,
     ),
     "q20_high_stress_topk": sql(
         DAILY,
@@ -467,7 +484,7 @@ ORACLE: dict[str, str] = {
     ),
     "q24_column_profile": f"SELECT min(value) AS min_value, max(value) AS max_value, {mean('value')} AS avg_value, count(value) AS non_null FROM events",
     "q25_crosstab": sql(
-        SPEND, "SELECT city, " + ", ".join(f"CAST(sum(CAST(amount_usd AS DECIMAL(18,2))) FILTER (spend_month = {m}) AS DOUBLE) AS \"{m}\"" for m in range(1, 13)) + " FROM sp GROUP BY city"
+        SPEND, "SELECT city, " + ", ".join(f"CAST(sum({exact('amount_usd')}) FILTER (spend_month = {m}) AS DOUBLE) AS \"{m}\"" for m in range(1, 13)) + " FROM sp GROUP BY city"
     ),
     "q26_dashboard_measures": sql(
         [*DAILY, "sp", "spend_mart", *SALES],
@@ -476,7 +493,7 @@ ORACLE: dict[str, str] = {
                 high_stress_days=counted("operational_stress_score >= 7"),
                 elevated_stress_days=counted("operational_stress_score >= 4 AND operational_stress_score < 7"),
                 high_risk_day_share=f"ifnull({counted(HIGH_ONLY)} / nullif(count(*), 0), 0)"),
-            kpi("outages", "daily", total_outages="sum(total_outages)", total_cml=total("total_customer_minutes_lost", 0),
+            kpi("outages", "daily", total_outages="sum(total_outages)", total_cml=total("total_customer_minutes_lost"),
                 total_customers_affected="sum(total_customers_affected)", avg_outage_duration=mean("avg_outage_duration_hrs"),
                 weather_driven_outages="sum(weather_driven_outages)", unplanned_outages="sum(unplanned_outages)"),
             kpi("spend", "spend_mart", total_om_spend=total("amount_usd"), avg_cost_per_risk_point=mean("cost_per_risk_point"),
@@ -485,8 +502,8 @@ ORACLE: dict[str, str] = {
                 total_hours_worked=total("hours_worked")),
             kpi("safety", "saf", avg_safety_risk=mean("safety_risk_index"), total_incidents=counted("is_incident = 1"),
                 overdue_closures=counted("is_overdue = 1")),
-            kpi("market", "sales", total_revenue=total("revenue_usd", 0), total_sales_mwh=total("sales_mwh", 0),
-                avg_price_per_kwh=mean("price_usd_per_kwh", 4), total_customers=total("customers", 0)),
+            kpi("market", "sales", total_revenue=total("revenue_usd"), total_sales_mwh=total("sales_mwh"),
+                avg_price_per_kwh=mean("price_usd_per_kwh"), total_customers=total("customers")),
         ]),
     ),
     "q27_charts": sql(["place", "ord", *WF], f"SELECT year, month_num, crew_type, {total('labor_cost')} AS total_labor_cost FROM wf GROUP BY ALL"),
@@ -523,19 +540,10 @@ ORACLE: dict[str, str] = {
         way AS (SELECT 'S7' AS here, ['S7'] AS path UNION ALL SELECT a, list_append(path, a) FROM way JOIN before ON b = here)""",
     ),
     "q35_betweenness": sql(
-        ["home", "node", "edge", "arc", "deg", "stats"],
+        GRID,
         "SELECT node_id, city, degree_centrality, betweenness_centrality, criticality_tier, is_major_hub, connected_lines, network_importance_score FROM ("
-        + _node_mart.format("scored_node") + ")",
-        distances_from("SELECT node_id, node_id, CAST(0 AS BIGINT) FROM node", "arc") + f""",
-        step AS (SELECT p.s, x.a, x.b FROM arc x JOIN dist p ON p.v = x.a JOIN dist q ON q.s = p.s AND q.v = x.b WHERE p.d + x.w = q.d),
-        way AS (SELECT node_id AS s, node_id AS t, [node_id] AS path FROM node
-            UNION ALL SELECT way.s, b, list_append(path, b) FROM way JOIN step ON step.s = way.s AND step.a = way.t),
-        many AS (SELECT s, t, count(*) AS n FROM way GROUP BY s, t),
-        inner_node AS (SELECT unnest(path[2:-2]) AS node_id, 1.0 / n AS part FROM way JOIN many USING (s, t) WHERE len(path) > 2),
-        score AS (SELECT node_id, sum(part) / ((SELECT count(*) FROM node) - 1) / ((SELECT count(*) FROM node) - 2) AS bc FROM inner_node GROUP BY 1),
-        scored_node AS (SELECT node.*, {even('raw_degree', 4)} AS degree_centrality,
-            {even('round(CAST(ifnull(bc, 0) AS DOUBLE), 11)', 4)} AS betweenness_centrality
-            FROM node JOIN deg USING (node_id) LEFT JOIN score USING (node_id))""",
+        + GRID_MART + ")",
+        GRID_SCORES,
     ),
     "q36_cause_mix": sql(
         [*WEATHER, *OUT],

@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmart import rules
+from opsmart import rules, session
 from opsmart.functions import calendar, field, weather as weather_functions
 from opsmart.functions.core import count_if, exact_avg, exact_sum, text_or_empty, to_number
 from opsmart.operators import filters, graph, joins, ordered, reshape, rollups
 from opsmart.plans import contracts, marts, measures, staging, summaries
 from opsmart.session import materialize
+from opsmart.sources import readers
 
 from . import raw_frames as raw
 
@@ -132,18 +133,16 @@ def calendar_parts(s, d):
     )
 
 
-def _plain_grid_nodes(s, d):
-    """Grid nodes with their degree and, in place of betweenness, their share of the largest capacity."""
+def _grid_mart(s, d):
+    """Grid mart over nodes scored by both centralities of the network."""
     nodes, edges = raw.grid_network(s, d)
-    degree = graph.degree_centrality(edges, nodes).select(
-        F.col("node").alias("node_id"), F.bround("degree_centrality", 4).alias("degree_centrality")
-    )
-    share = F.round(F.col("capacity_mw") / 2500, 4).alias("betweenness_centrality")
-    return raw.grid_nodes(s, d).join(degree, "node_id").select("*", share)
+    scores = graph.scored_nodes(nodes, edges).withColumnRenamed("node", "node_id")
+    scored = raw.grid_nodes(s, d).join(scores, "node_id")
+    return marts.grid_operations(staging.grid_nodes(scored), raw.grid_edges(s, d))
 
 
 def grid_operations(s, d):
-    return marts.by_centrality(marts.grid_operations(staging.grid_nodes(_plain_grid_nodes(s, d)), raw.grid_edges(s, d)))
+    return marts.by_centrality(_grid_mart(s, d))
 
 
 def generator_mix(s, d):
@@ -175,7 +174,7 @@ def seasonal(s, d):
 
 
 def grid_by_city(s, d):
-    mart = marts.grid_operations(staging.grid_nodes(_plain_grid_nodes(s, d)), raw.grid_edges(s, d))
+    mart = _grid_mart(s, d)
     return summaries.cities_with_grid(summaries.ranked_cities(_daily(s, d)), summaries.grid_by_city(mart))
 
 
@@ -293,11 +292,7 @@ def shortest_path(s, d):
 
 
 def betweenness(s, d):
-    """Grid mart over nodes scored by both centralities."""
-    nodes, edges = raw.grid_network(s, d)
-    scores = graph.scored_nodes(nodes, edges).withColumnRenamed("node", "node_id")
-    scored = raw.grid_nodes(s, d).join(scores, "node_id")
-    return marts.grid_operations(staging.grid_nodes(scored), raw.grid_edges(s, d)).select(
+    return _grid_mart(s, d).select(
         "node_id", "city", "degree_centrality", "betweenness_centrality", "criticality_tier", "is_major_hub",
         "connected_lines", "network_importance_score",
     )
@@ -350,14 +345,15 @@ def date_window(s, d):
 
 
 def json_records(s, d):
-    """Events packed per user and type as API pages, then unpacked again."""
-    record = F.struct(F.col("event_id"), F.get_json_object("props", "$.k").alias("k"))
-    page = F.to_json(F.struct(F.array(record).alias("data"), F.lit("1").alias("total")))
-    pages = raw.read(s, d, "events").select(
-        "event_type", F.from_json(page, "struct<data: array<struct<event_id: bigint, k: string>>, total: string>").alias("response")
-    )
-    rows = pages.select("event_type", F.explode("response.data").alias("r")).select("event_type", "r.*")
-    return rows.select("event_id", "event_type", to_number("k").alias("k"))
+    """Events landed as API pages of a thousand records in the checkpoint folder, read back as records."""
+    events = raw.read(s, d, "events")
+    record = F.struct("event_id", "event_type", F.get_json_object("props", "$.k").alias("k"))
+    pages = events.groupBy(F.floor(F.col("event_id") / 1000).alias("offset")).agg(F.collect_list(record).alias("data"))
+    total = events.agg(F.count("*")).scalar().cast("string")
+    folder = session.scratch_path(s)
+    pages.select("offset", F.struct(total.alias("total"), "data").alias("response")).write.partitionBy("offset").json(folder)
+    landed = readers.landed_pages(s, folder, "event_id bigint, event_type string, k string")
+    return readers.page_records(landed).select("event_id", "event_type", to_number("k").alias("k"))
 
 
 def concat_sources(s, d):

@@ -89,26 +89,42 @@ def strict_greatest(*values: Column) -> Column:
     return F.when(known, F.greatest(*values))
 
 
+def known(value: Column | str) -> Column:
+    """A double, or NULL where it is not a finite number: the one rule for missing measurements."""
+    number = col(value).cast("double")
+    return F.when(F.isnan(number) | (F.abs(number) == F.lit(float("inf"))), None).otherwise(number)
+
+
 def to_number(value: Column | str) -> Column:
-    """Text to double; anything that is not a number becomes NULL."""
-    return col(value).try_cast("double")
+    """Text to double; anything that is not a finite number becomes NULL, the texts NaN and Infinity too."""
+    return known(col(value).try_cast("double"))
 
 
 def text_or_empty(value: Column | str) -> Column:
     return F.coalesce(col(value).cast("string"), F.lit(""))
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum that does not depend on row order or task retries.
+def as_decimal(value: Column) -> Column:
+    """The value with twelve digits behind the point, or NULL where that is another number by more than a double's own error."""
+    decimal = value.try_cast("decimal(38,12)")
+    return F.when(F.abs(decimal.cast("double") - value) <= F.abs(value) * F.lit(1e-15), decimal)
+
 
-    Doubles are added as decimals with ``scale`` digits, the result is a double again.
+def exact_sum(value: Column | str) -> Column:
+    """Sum of the known values that does not depend on row order or task retries, with all their digits.
+
+    Values are added as decimals as long as twelve digits hold each of them and the sum has room;
+    otherwise the plain sum of the doubles is taken. NULL if there is no known value.
     """
-    return F.sum(col(value).cast(f"decimal(18,{scale})")).cast("double")
+    number = known(value)
+    decimal = as_decimal(number)
+    total = F.try_sum(decimal).cast("double")
+    return F.when(F.count(decimal) == F.count(number), F.coalesce(total, F.sum(number))).otherwise(F.sum(number))
 
 
-def exact_avg(value: Column | str, scale: int = 2) -> Column:
-    """Mean of the non-NULL values from an exact sum; NULL for an all-NULL group."""
-    return F.try_divide(exact_sum(value, scale), F.count(col(value)).cast("double"))
+def exact_avg(value: Column | str) -> Column:
+    """Mean of the known values from an exact sum; NULL for a group without any."""
+    return F.try_divide(exact_sum(value), F.count(known(value)).cast("double"))
 
 
 def count_if(condition: Column) -> Column:
@@ -126,6 +142,12 @@ def first_present_col(columns: Sequence[str], candidates: Sequence[str], default
     return text_or_empty(F.col(f"`{name}`")) if name else F.lit(default)
 
 
+def first_filled_col(columns: Sequence[str], candidates: Sequence[str], default: str = "") -> Column:
+    """The first candidate with a text in the row, or a constant: columns that a source declares but leaves empty are passed over."""
+    found = [F.nullif(F.col(f"`{name}`").cast("string"), F.lit("")) for name in candidates if name in columns]
+    return F.coalesce(*found, F.lit(default))
+
+
 def first_containing(columns: Sequence[str], parts: Sequence[str]) -> str | None:
     """First column whose lower-cased name contains any of the parts."""
     return next((c for c in columns if any(p in c.lower() for p in parts)), None)

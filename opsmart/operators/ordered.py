@@ -11,37 +11,43 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import flag
+from ..functions.core import as_decimal, exact_sum, flag, known
 from ..session import materialize
 
 
 def share_of_total(df: DataFrame, value: str, output: str, digits: int = 1) -> DataFrame:
     """Percent of the column's grand total, which is a scalar subquery over that one column."""
-    total = df.agg(F.sum(F.col(value).cast("decimal(38,4)")).cast("double")).scalar()
+    total = df.agg(exact_sum(value)).scalar()
     return df.withColumn(output, F.round(F.col(value) / F.nullif(total, F.lit(0.0)) * 100, digits))
 
 
-def running_total(df: DataFrame, value: str, output: str, *order: Column, scale: int = 4) -> DataFrame:
-    """Sum of ``value`` over all rows up to and including this one in ``order``.
+def running_total(df: DataFrame, value: str, output: str, *order: Column) -> DataFrame:
+    """Sum of the known ``value`` over all rows up to and including this one in ``order``.
 
     ``order`` must be total (end it with a unique key). The rows are cut into
     ordered ranges and written once; each range is summed on its own and the
-    totals of the ranges before it, one row per range, are added.
+    totals of the ranges before it, one row per range, are added. Sums are of
+    decimals as in ``exact_sum``, and of doubles from the first row on that is no such decimal.
     """
-    amount = F.coalesce(F.col(value).cast(f"decimal(18,{scale})"), F.lit(0).cast(f"decimal(18,{scale})"))
-    ranges = materialize(
-        df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()).withColumn("__amount", amount)
-    )
+    number = known(value)
+    sums = {
+        "__exact": F.coalesce(as_decimal(number), F.lit(0).cast("decimal(38,12)")), "__plain": F.coalesce(number, F.lit(0.0)),
+        "__other": F.when(number.isNotNull() & as_decimal(number).isNull(), 1).otherwise(0),
+    }
+    ranges = materialize(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()).withColumns(sums))
     inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = ranges.groupBy("__range").agg(F.sum("__amount").alias("__total"))
+    totals = ranges.groupBy("__range").agg(*(F.try_sum(c).alias(c) for c in sums))
     # One row per range, so at most spark.sql.shuffle.partitions rows: bounded by the settings, not by the data.
-    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__range", F.sum("__total").over(earlier).alias("__before"))
+    by_range = Window.orderBy("__range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.row_number().over(by_range) == 1
+    before = {f"{c}_before": F.when(first, F.lit(0)).otherwise(F.try_sum(c).over(earlier)) for c in sums}
+    offsets = totals.select("__range", *(total.alias(name) for name, total in before.items()))
+    upto = {c: F.try_add(F.try_sum(c).over(inside), F.col(f"{c}_before")) for c in sums}
+    exact = F.when(upto["__other"] == 0, upto["__exact"].cast("double"))
     return (
-        ranges.withColumn("__inside", F.sum("__amount").over(inside))
-        .join(offsets, "__range")
-        .withColumn(output, (F.col("__inside") + F.coalesce(F.col("__before"), F.lit(0))).cast("double"))
-        .drop("__range", "__amount", "__inside", "__before")
+        ranges.join(offsets, "__range").withColumn(output, F.coalesce(exact, upto["__plain"]))
+        .drop("__range", *sums, *before)
     )
 
 
@@ -54,7 +60,7 @@ def rank_descending(df: DataFrame, value: str, output: str) -> DataFrame:
     """
     rows = materialize(df)
     per_value = rows.groupBy(value).agg(F.count("*").alias("__rows"))
-    counted = running_total(per_value, "__rows", "__upto", F.col(value).desc_nulls_last(), scale=0)
+    counted = running_total(per_value, "__rows", "__upto", F.col(value).desc_nulls_last())
     ranks = counted.select(
         F.col(value).alias("__value"), (F.col("__upto") - F.col("__rows") + 1).cast("long").alias(output)
     )

@@ -14,17 +14,17 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("count")).orderBy(F.desc("count"), *columns)
 
 
-def totals_by(df: DataFrame, value: str, *keys: str, scale: int = 2) -> DataFrame:
+def totals_by(df: DataFrame, value: str, *keys: str) -> DataFrame:
     """Sum per key, largest first; without keys the grand total."""
-    totals = df.groupBy(*keys).agg(exact_sum(value, scale).alias(f"total_{value}"))
+    totals = df.groupBy(*keys).agg(exact_sum(value).alias(f"total_{value}"))
     return totals.orderBy(F.desc(f"total_{value}"), *keys) if keys else totals
 
 
-def profile(df: DataFrame, column: str, scale: int = 2) -> DataFrame:
+def profile(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
         F.min(column).alias("min_value"),
         F.max(column).alias("max_value"),
-        exact_avg(column, scale).alias("avg_value"),
+        exact_avg(column).alias("avg_value"),
         F.count(column).alias("non_null"),
     )
 

@@ -8,12 +8,14 @@ detail rows are never shuffled for a join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import calendar, energy, field, grid, weather
-from ..functions.core import exact_avg, exact_sum, strict_greatest
+from ..functions.core import exact_avg, exact_sum, known, strict_greatest
 from ..operators import ordered
 from ..operators.joins import spine_join, with_context
 from ..operators.rollups import most_frequent
@@ -107,7 +109,7 @@ def daily_outages(kpis: DataFrame) -> DataFrame:
     return kpis.groupBy(F.col("outage_date").alias("summary_date"), "city_name").agg(
         F.count("outage_id").alias("total_outages"),
         F.sum("customers_affected").alias("total_customers_affected"),
-        exact_sum("customer_minutes_lost", 0).alias("total_customer_minutes_lost"),
+        exact_sum("customer_minutes_lost").alias("total_customer_minutes_lost"),
         F.round(exact_avg("duration_hours"), 2).alias("avg_outage_duration_hrs"),
         F.max("outage_severity_score").alias("max_outage_severity"),
         F.sum("is_weather_driven").alias("weather_driven_outages"),
@@ -179,9 +181,9 @@ def state_weather(days: DataFrame, base: float = rules.DEGREE_DAY_BASE_F) -> Dat
     digits = {"temp_avg_f": 1, "temp_max_f": 1, "temp_min_f": 1, "wind_speed_max_mph": 1, "precipitation_inches": 2}
     parts = {}
     for name in digits:
-        amount = F.col(name).cast("decimal(18,4)")
-        parts[f"{name}__sum"] = (F.sum(amount), F.sum(f"{name}__sum").cast("double"))
-        parts[f"{name}__n"] = (F.count(name), F.sum(f"{name}__n").cast("double"))
+        amount = known(name)
+        parts[f"{name}__sum"] = (F.sum(amount.try_cast("decimal(38,12)")), F.sum(f"{name}__sum").cast("double"))
+        parts[f"{name}__n"] = (F.count(amount), F.sum(f"{name}__n").cast("double"))
     daily = most_frequent(days, ["weather_date"], "weather_description", "dominant_weather", parts)
     mean = {name: F.try_divide(F.col(f"{name}__sum"), F.col(f"{name}__n")) for name in digits}
     zero, base_lit = F.lit(0.0), F.lit(float(base))
@@ -245,18 +247,21 @@ def generator_mix(generators: DataFrame) -> DataFrame:
     ).drop("__net", "__running")
 
 
-def sales_by_sector(sales: DataFrame) -> DataFrame:
-    """Monthly sector sales with trends. The pivoted months are written once, since several steps read them."""
+def sales_by_sector(sales: DataFrame, group: Sequence[str] = ("state_id", "sector")) -> DataFrame:
+    """Monthly sales with trends within each ``group``, in which a month occurs once.
+
+    The pivoted months are written once, since several steps read them.
+    """
     sales = materialize(sales)
     latest = sales.agg(F.max("sale_month")).scalar()
-    sector, month = ["sector"], "sale_month"
+    group, month = list(group), "sale_month"
     changes = {
         "sales_mwh_mom_change": ("sales_mwh", 1),
         "sales_mwh_yoy_change": ("sales_mwh", 12),
         "price_yoy_change_cents": ("price_cents_per_kwh", 12),
     }
-    trend = ordered.lag_changes(sales, sector, [month], changes)
-    trend = ordered.group_peak_flag(trend, "sales_mwh", "is_sector_peak_month", sector)
+    trend = ordered.lag_changes(sales, group, [month], changes)
+    trend = ordered.group_peak_flag(trend, "sales_mwh", "is_sector_peak_month", group)
     return trend.withColumns(
         {
             "sector_display": energy.sector_display("sector", "sector_name"),

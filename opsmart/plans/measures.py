@@ -33,7 +33,7 @@ def stress(daily: DataFrame, high_from: float = rules.DASHBOARD_HIGH_STRESS, ele
 def outages(daily: DataFrame) -> DataFrame:
     return daily.agg(
         F.sum("total_outages").alias("total_outages"),
-        exact_sum("total_customer_minutes_lost", 0).alias("total_cml"),
+        exact_sum("total_customer_minutes_lost").alias("total_cml"),
         F.sum("total_customers_affected").alias("total_customers_affected"),
         exact_avg("avg_outage_duration_hrs").alias("avg_outage_duration"),
         F.sum("weather_driven_outages").alias("weather_driven_outages"),
@@ -68,10 +68,10 @@ def safety(mart: DataFrame) -> DataFrame:
 
 def market(mart: DataFrame) -> DataFrame:
     return mart.agg(
-        exact_sum("revenue_usd", 0).alias("total_revenue"),
-        exact_sum("sales_mwh", 0).alias("total_sales_mwh"),
-        exact_avg("price_usd_per_kwh", 4).alias("avg_price_per_kwh"),
-        exact_sum("customers", 0).alias("total_customers"),
+        exact_sum("revenue_usd").alias("total_revenue"),
+        exact_sum("sales_mwh").alias("total_sales_mwh"),
+        exact_avg("price_usd_per_kwh").alias("avg_price_per_kwh"),
+        exact_sum("customers").alias("total_customers"),
     )
 
 

@@ -15,9 +15,9 @@ from ..operators.reshape import pivot_max
 def daily_demand(hourly: DataFrame, respondent: str = "PSCO", respondent_name: str = "Public Service Company of Colorado (Xcel Energy)") -> DataFrame:
     """Hours (``ts``, ``demand_mwh``) to one row per day. An all-NULL day has NULL sums."""
     daily = hourly.groupBy(F.to_date("ts").alias("date")).agg(
-        F.bround(exact_sum("demand_mwh", 4), 1).alias("total_demand_mwh"),
+        F.bround(exact_sum("demand_mwh"), 1).alias("total_demand_mwh"),
         F.bround(F.max("demand_mwh"), 1).alias("peak_demand_mwh"),
-        F.bround(exact_avg("demand_mwh", 4), 1).alias("avg_demand_mwh"),
+        F.bround(exact_avg("demand_mwh"), 1).alias("avg_demand_mwh"),
         F.bround(F.min("demand_mwh"), 1).alias("min_demand_mwh"),
         F.count("demand_mwh").cast("int").alias("hours_reported"),
     )

@@ -13,16 +13,16 @@ from ..operators.joins import join_on_expression
 
 
 def _avg(column: str, digits: int):
-    return F.round(exact_avg(column, 4), digits)
+    return F.round(exact_avg(column), digits)
 
 
 def city_summary(daily: DataFrame) -> DataFrame:
     return daily.groupBy("city_name").agg(
         F.count("*").alias("total_days"),
         _avg("total_outages", 2).alias("avg_daily_outages"),
-        exact_sum("total_outages", 0).alias("total_outages"),
+        exact_sum("total_outages").alias("total_outages"),
         _avg("total_customer_minutes_lost", 0).alias("avg_customer_minutes_lost"),
-        exact_sum("total_customer_minutes_lost", 0).alias("total_customer_minutes_lost"),
+        exact_sum("total_customer_minutes_lost").alias("total_customer_minutes_lost"),
         _avg("total_crews_deployed", 2).alias("avg_crews_per_day"),
         F.round(exact_sum("total_labor_cost"), 2).alias("total_labor_cost"),
         _avg("operational_stress_score", 3).alias("avg_stress_score"),

@@ -67,7 +67,8 @@ GENERATOR_RECORD = (
     "`nameplate-capacity-mw` string, latitude string, longitude string"
 )
 SALES_RECORD = (
-    "period string, stateid string, stateDescription string, sectorid string, sectorName string, "
+    "period string, stateid string, stateName string, stateDescription string, sectorid string, sector string, "
+    "sectorName string, typeName string, "
     "customers string, revenue string, sales string, price string, `customers-units` string, "
     "`revenue-units` string, `sales-units` string, `price-units` string"
 )

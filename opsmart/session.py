@@ -45,6 +45,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/opsmart-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the frame once as a table in the checkpoint folder and continue from the table.
 
@@ -54,7 +60,6 @@ def materialize(df: DataFrame) -> DataFrame:
     planning that follows and an iterated plan starts afresh in every round.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/opsmart-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

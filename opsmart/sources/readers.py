@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .. import schemas
-from ..functions.core import first_containing, first_present_col, to_number
+from ..functions.core import first_containing, first_filled_col, first_present_col, to_number
 from ..functions.energy import fuel_type
 from ..functions.calendar import period_to_month
 from ..operators.filters import lower_names, present_columns
@@ -17,7 +18,15 @@ from .. import rules
 
 
 def weather_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema(schemas.RAW_WEATHER).csv(path)
+    """The raw weather table, columns found by their header; text of another type becomes NULL.
+
+    A missing column is an error, and so is a file whose header differs from the others'.
+    """
+    rows = lower_names(spark.read.option("header", True).option("enforceSchema", False).csv(path))
+    fields = StructType.fromDDL(schemas.RAW_WEATHER).fields
+    if missing := [f.name for f in fields if f.name not in rows.columns]:
+        raise ValueError(f"the header has no {', '.join(missing)}")
+    return rows.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,19 +44,20 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 
 
 # Paged API responses: one JSON document per file, records in response.data.
-def landed_pages(spark: SparkSession, path: str | Sequence[str], record: str) -> DataFrame:
-    """One row per page: its records, the announced total, and the text if the page is not JSON."""
-    envelope = f"response struct<total: string, data: array<struct<{_struct(record)}>>>, _corrupt_record string"
+def landed_pages(spark: SparkSession, path: str | Sequence[str], record: str | StructType) -> DataFrame:
+    """One row per page: its records, the announced total, and the text if the page is not JSON.
+
+    ``record`` is a type or its DDL. The pages of one request lie in one folder, which is its ``request``.
+    """
+    record = StructType.fromDDL(record) if isinstance(record, str) else record
+    response = StructType([StructField("total", StringType()), StructField("data", ArrayType(record))])
+    envelope = StructType([StructField("response", response), StructField("_corrupt_record", StringType())])
     pages = (
-        spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+        spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
         .option("columnNameOfCorruptRecord", "_corrupt_record").schema(envelope).json(path)
     )
-    return pages.withColumn("page", F.input_file_name())
-
-
-def _struct(record: str) -> str:
-    parts = [p.strip().rsplit(" ", 1) for p in record.split(",")]
-    return ", ".join(f"{name}: {kind}" for name, kind in parts)
+    named = pages.withColumn("page", F.input_file_name())
+    return named.withColumn("request", F.regexp_replace("page", "/[^/]*$", ""))
 
 
 def page_records(pages: DataFrame) -> DataFrame:
@@ -61,11 +71,19 @@ def bad_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
-    """Rows fetched against the total that the pages announce, one row."""
-    fetched = F.coalesce(F.sum(F.greatest(F.size("response.data"), F.lit(0))), F.lit(0))
-    announced = F.max(F.col("response.total").try_cast("long"))
-    return pages.agg(fetched.alias("fetched"), announced.alias("announced")).withColumn(
-        "complete", F.coalesce(F.col("fetched") >= F.col("announced"), F.lit(False))
+    """Different records fetched against the totals that the requests announce, one row.
+
+    A record that was landed twice counts once, so a repeated page does not hide a missing one; ``complete``
+    means that every request has exactly as many as it announced.
+    """
+    requests = pages.groupBy("request").agg(F.max(F.col("response.total").try_cast("long")).alias("announced"))
+    records = pages.select(F.col("request").alias("__request"), F.explode("response.data").alias("record")).distinct()
+    fetched = records.groupBy("__request").agg(F.count("*").alias("found"))
+    each = requests.join(fetched, F.col("request") == F.col("__request"), "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    same = F.coalesce(F.col("found") == F.col("announced"), F.lit(False))
+    return each.agg(
+        F.coalesce(F.sum("found"), F.lit(0)).alias("fetched"), F.sum("announced").alias("announced"),
+        F.coalesce(F.bool_and(same), F.lit(False)).alias("complete"),
     )
 
 
@@ -120,11 +138,13 @@ def generator_inventory(records: DataFrame, state: str = "CO") -> DataFrame:
 def retail_sales(records: DataFrame, state_id: str = "CO", state_name: str = "Colorado") -> DataFrame:
     """One row per month, sector and metric that the endpoint returned."""
     names = records.columns
+    if not {"sectorid", "sector", "sectorName", "typeName"} & set(names):
+        raise ValueError("the records have no column that names a sector")
     ids = [
-        first_present_col(names, ["period"]).alias("period"),
-        first_present_col(names, ["stateid"], state_id).alias("state_id"),
-        first_present_col(names, ["stateName", "stateDescription"], state_name).alias("state_name"),
-        first_present_col(names, ["sectorid", "sector"]).alias("sector"),
-        first_present_col(names, ["sectorName", "typeName"]).alias("sector_name"),
+        first_filled_col(names, ["period"]).alias("period"),
+        first_filled_col(names, ["stateid"], state_id).alias("state_id"),
+        first_filled_col(names, ["stateName", "stateDescription"], state_name).alias("state_name"),
+        first_filled_col(names, ["sectorid", "sector"]).alias("sector"),
+        first_filled_col(names, ["sectorName", "typeName"]).alias("sector_name"),
     ]
     return melt_with_units(records, ids, rules.SALES_METRICS)

@@ -76,7 +76,7 @@ def test_number_rules(column, make, values, expected):
         (energy.dispatchable, ["Coal", "Bituminous Coal", "Subbituminous Coal"], [1, 0, 0]),
         (energy.critical_peak, ["Critical Peak", "High Load", None], [1, 0, 0]),
         (energy.high_load, ["Critical Peak", "High Load", "Normal Load"], [1, 1, 0]),
-        (core.to_number, ["12.5", "", "x", None], [12.5, None, None, None]),
+        (core.to_number, ["12.5", "", "x", None, "NaN", "Infinity", "-inf"], [12.5] + [None] * 6),
         (core.text_or_empty, ["a", None], ["a", ""]),
         (calendar.period_to_month, ["2024-03", "2024", None], [dt.date(2024, 3, 1), None, None]),
     ],
@@ -165,3 +165,15 @@ def test_exact_sum_ignores_order(spark):
     assert spark.createDataFrame(rows, "v double").agg(core.exact_sum("v").alias("s")).first()["s"] == 100.0
     empty = spark.createDataFrame([(None,)], "v double").agg(core.exact_avg("v").alias("a"), core.exact_sum("v").alias("s")).first()
     assert (empty["a"], empty["s"]) == (None, None)
+
+
+def test_sums_keep_all_digits(spark):
+    def of(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return tuple(df.agg(core.exact_sum("v"), core.exact_avg("v")).first())
+
+    assert of(0.004, 0.004, 0.004) == (0.012, 0.004)
+    assert of(2e16, 2e16) == (4e16, 2e16)
+    assert of(5000.0, float("nan"), 6000.0, None, float("inf")) == (11000.0, 5500.0)
+    assert of(1e-15, 1e-15) == (2e-15, 1e-15) and of(1e30, 1e30) == (2e30, 1e30)
+    assert of(9e25, 9e25) == (1.8e26, 9e25) and of(None) == (None, None)

@@ -161,3 +161,11 @@ def test_filters_reach_the_scan(spark, tmp_path):
     plan = filters.facets(filters.except_value(df, "s", "ALL"), period=[1, 2]).select("id")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(s), Not(EqualTo(s,ALL)), In(period, [1,2])" in plan
     assert "unused" not in plan.split("ReadSchema")[1]
+
+
+def test_shares_and_running_totals_of_small_and_large_values(spark):
+    small = spark.createDataFrame([("a", 0.00002), ("b", 0.00002)], "k string, v double")
+    assert {r["share"] for r in ordered.share_of_total(small, "v", "share").collect()} == {50.0}
+    run = lambda df: [r["run"] for r in ordered.running_total(df, "v", "run", F.col("k")).orderBy("k").collect()]
+    assert run(small) == [0.00002, 0.00004]
+    assert run(spark.createDataFrame([("a", 3e14), ("b", None), ("c", 1e40), ("d", 1.0)], "k string, v double")) == [3e14, 3e14, 1e40, 1e40]

@@ -2,6 +2,9 @@
 
 import json
 
+import pytest
+from pyspark.sql.types import StructType
+
 from opsmart import schemas
 from opsmart.operators.filters import drop_missing, first_non_empty
 from opsmart.operators.reshape import stack_by_name
@@ -55,6 +58,33 @@ def test_incomplete_pages(spark, tmp_path):
     assert tuple(readers.page_completeness(pages).first()) == (1, 9, False)
 
 
+def test_repeated_page_does_not_hide_a_missing_one(spark, tmp_path):
+    hours = [{"period": f"2026-01-01T{h:02d}", "value": str(h)} for h in range(4)]
+    for name in ("p1.json", "p2.json"):
+        put(tmp_path, name, {"response": {"total": "4", "data": hours[:2]}})
+    pages = readers.landed_pages(spark, str(tmp_path), StructType.fromDDL(schemas.DEMAND_RECORD))
+    assert tuple(readers.page_completeness(pages).first()) == (2, 4, False)
+    put(tmp_path, "p3.json", {"response": {"total": "4", "data": hours[2:]}})
+    again = readers.landed_pages(spark, str(tmp_path), "period string, value decimal(10,2)")
+    assert tuple(readers.page_completeness(again).first()) == (4, 4, True)
+    assert readers.page_records(again).agg({"value": "max"}).first()[0] == 3
+
+
+def test_header_decides_and_second_endpoint(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("city,date,temp_max_f,temp_min_f,precipitation_inches,wind_speed_max_mph,weather_code\nDenver,2026-01-02,50,x,0,5,1\n")
+    row = readers.weather_csv(spark, f"{tmp_path}/w.csv").first()
+    assert (str(row["date"]), row["city"], row["temp_max_f"], row["temp_min_f"]) == ("2026-01-02", "Denver", 50.0, None)
+    (tmp_path / "x.csv").write_text("city,date\nDenver,2026-01-02\n")
+    with pytest.raises(ValueError, match="temp_max_f"):
+        readers.weather_csv(spark, f"{tmp_path}/x.csv")
+    other = tmp_path / "other"
+    other.mkdir()
+    put(other, "p.json", {"response": {"total": "2", "data": [
+        {"period": "2026-01", "stateName": "Colorado", "sector": s, "typeName": s.lower(), "sales": "5"} for s in ("RES", "COM")]}})
+    sales = readers.retail_sales(readers.page_records(readers.landed_pages(spark, str(other), schemas.SALES_RECORD)))
+    assert {(r["sector"], r["sector_name"], r["state_id"]) for r in sales.collect()} == {("RES", "res", "CO"), ("COM", "com", "CO")}
+
+
 def test_generator_records(spark, tmp_path):
     put(tmp_path, "g.json", {"response": {"total": 1, "data": [{
         "period": "2026-06", "plantName": "Comanche", "generatorid": "3", "energy_source_code": "SUB", "technology": "Steam",
