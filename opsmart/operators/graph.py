@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 
 SOURCES_PER_BATCH = 2000
 FOLD_ROUNDS = 20
@@ -91,7 +91,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         joined.append(materialize(nearest.select("node", root.alias("root"))))
         first = joined[-1].select(F.col("node").alias("a"), F.col("root").alias("root_a"))
         second = joined[-1].select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        links = materialize(_linked_pairs(links.join(first, "a").join(second, "b"), "root_a", "root_b"))
+        links, old = materialize(_linked_pairs(links.join(first, "a").join(second, "b"), "root_a", "root_b")), links
+        discard(old)
     everyone = nodes.select("node")
     if not joined:
         return everyone.withColumn("component", F.col("node"))
@@ -151,6 +152,7 @@ def _distances(links: DataFrame, starts: DataFrame, target=None) -> DataFrame:
             F.lit(None).cast(cost).alias("known"),
         )
         held = state.select("source", "node", "distance", F.col("distance").alias("known"))
+        old = state
         state = materialize(
             held.unionByName(offered)
             .groupBy("source", "node")
@@ -160,6 +162,7 @@ def _distances(links: DataFrame, starts: DataFrame, target=None) -> DataFrame:
                 (F.col("known").isNull() | (F.col("distance") < F.col("known"))).alias("fresh"),
             )
         )
+        discard(old)
         if state.filter("fresh").isEmpty():
             return state.select("source", "node", "distance")
 
@@ -178,33 +181,33 @@ def shortest_distances(edges: DataFrame, source) -> DataFrame:
 def shortest_path(edges: DataFrame, source, target) -> DataFrame:
     """Stations of a shortest path as (step, node, distance); no rows when there is none.
 
-    Among equal paths the predecessor with the smallest id is taken. Only the
-    stations of the one path pass through the driver.
+    Among equal paths the predecessor with the smallest id is taken. The stations are found by
+    doubling: a round follows twice as many predecessors as the one before, so rounds grow with the
+    logarithm of the path and nothing passes through the driver.
     """
-    spark = edges.sparkSession
     links = materialize(arcs(edges))
-    found = _distances(links, _one_node(edges, source), target).select("node", "distance")
+    found = materialize(_distances(links, _one_node(edges, source), target).select("node", "distance"))
     here = found.select(F.col("node").alias("src"), F.col("distance").alias("from_distance"))
     there = found.select(F.col("node").alias("dst"), F.col("distance").alias("to_distance"))
-    before = materialize(
+    back = materialize(
         links.join(here, "src").join(there, "dst")
         .filter(F.col("from_distance") + F.col("weight") == F.col("to_distance"))
-        .groupBy("dst").agg(F.min("src").alias("src"))
-        .join(there, "dst")
+        .groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("up"))
     )
-    kind = edges.schema["src"].dataType.simpleString()
-    cost = dict(links.dtypes)["weight"]
-    schema = f"step int, node {kind}, distance {cost}"
-    stations, current = [], target
-    while current != source:
-        row = before.filter(F.col("dst") == F.lit(current)).first()
-        if row is None:
-            return spark.createDataFrame([], schema)
-        stations.append((current, row["to_distance"]))
-        current = row["src"]
-    stations.append((source, type(stations[-1][1])(0) if stations else 0))
-    rows = [(step, node, distance) for step, (node, distance) in enumerate(reversed(stations))]
-    return spark.createDataFrame(rows, schema)
+    stations, known = materialize(_one_node(edges, target)), 1
+    while True:
+        reached = stations.join(back, "node").select(F.col("up").alias("node"))
+        more = materialize(stations.unionByName(reached).distinct())
+        discard(stations)
+        stations, before = more, known
+        known = stations.count()
+        if known == before:
+            break
+        twice = back.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        back, old = materialize(back.join(twice, "up").select("node", F.col("further").alias("up"))), back
+        discard(old)
+    order = Window.orderBy("distance")  # the stations of one path
+    return stations.join(found, "node").select((F.row_number().over(order) - 1).alias("step"), "node", "distance")
 
 
 def _fold_leaves(links: DataFrame, nodes: DataFrame, rounds: int):

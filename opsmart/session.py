@@ -63,3 +63,13 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table made by ``materialize`` that a later round has replaced, so that rounds do not pile up."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if not folder.rsplit("/", 1)[1].startswith("opsmart-"):
+            raise ValueError(f"{folder} is no intermediate table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,15 +22,30 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
 
 
 def replace_files(df: DataFrame, folder: str, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Replace a Parquet table below a folder. Partition columns let later reads skip files."""
-    path = f"{folder.rstrip('/')}/{name}"
-    _writer(df, partition_by).parquet(path)
+    """Replace a Parquet table below a folder. Partition columns let later reads skip files.
+
+    The new version is written beside the old one and takes its name when it is complete: an interrupted write leaves
+    the old version readable. On a file system the change is two renames; an object store copies.
+    """
+    spark, path = df.sparkSession, f"{folder.rstrip('/')}/{name}"
+    mark = uuid.uuid4().hex
+    new, old = (f"{folder.rstrip('/')}/_{name}.{kind}-{mark}" for kind in ("new", "old"))
+    _writer(df, partition_by).parquet(new)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place(path)):
+        files.rename(place(path), place(old))
+    files.rename(place(new), place(path))
+    files.delete(place(old), True)
     return path
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table of the session catalog."""
-    _writer(df, partition_by).format("parquet").saveAsTable(name)
+    """Replace a table of the session catalog; the new version is complete before it takes the old one's name."""
+    spark, new = df.sparkSession, f"{name}__{uuid.uuid4().hex}"
+    _writer(df, partition_by).format("parquet").saveAsTable(new)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
 
 
 def replace_view(df: DataFrame, name: str) -> None:

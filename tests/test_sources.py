@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from opsmart import schemas
@@ -134,3 +135,18 @@ def test_writers(spark, tmp_path):
     assert spark.sql("SELECT count(*) AS n FROM opsmart_view").first()["n"] == 2
     stamped = writers.stamped(df)
     assert stamped.select("created_at").distinct().count() == 1 and dict(stamped.dtypes)["created_at"] == "timestamp_ntz"
+
+
+def test_interrupted_write_leaves_the_old_version(spark, tmp_path):
+    df = readers.literal_table(spark, [(1,), (2,)], "a int")
+    writers.replace_files(df, str(tmp_path), "t")
+    broken = df.select(F.raise_error(F.lit("stop")).cast("int").alias("a"))
+    with pytest.raises(Exception, match="stop"):
+        writers.replace_files(broken, str(tmp_path), "t")
+    assert readers.table(spark, str(tmp_path), "t").count() == 2
+    writers.replace_files(df.filter("a = 2"), str(tmp_path), "t")  # the same folder is read and replaced
+    writers.replace_files(readers.table(spark, str(tmp_path), "t"), str(tmp_path), "t")
+    assert [r["a"] for r in readers.table(spark, str(tmp_path), "t").collect()] == [2]
+    writers.replace_table(df, "opsmart_twice")
+    writers.replace_table(df.filter("a = 1"), "opsmart_twice")
+    assert readers.catalog_table(spark, "opsmart_twice").count() == 1
