@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import discard
 from .common import materialize
 
 
@@ -34,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
             F.inline(F.array(F.struct(F.col("least").alias("a"), F.col("b").alias("b")),
                              F.struct(F.col("least").alias("a"), F.col("a").alias("b"))))
         )
-        links = materialize(tied.filter("a <> b").distinct())
+        links, old = materialize(tied.filter("a <> b").distinct()), links
+        discard(old)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return links.select(F.col("b").alias("node"), F.col("a").alias("root"))
