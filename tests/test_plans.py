@@ -141,3 +141,16 @@ def test_registered_queries_match_their_sql(spark, name):
     cursor = database(folder).execute(ORACLE[name])
     assert differences(df.columns, df.collect(), [c[0] for c in cursor.description], cursor.fetchall()) == []
     assert set(ORACLE) == set(QUERIES)
+
+
+def test_trends_stay_within_a_state(spark):
+    rows = [
+        ("2026-01", "CO", "RES", 100.0), ("2026-02", "CO", "RES", 110.0), ("2026-01", "UT", "RES", 5000.0), ("2026-02", "UT", "RES", 4000.0)
+    ]
+    raw = spark.createDataFrame(
+        [(p, st, st, s, s, "sales", v, "") for p, st, s, v in rows],
+        "period string, state_id string, state_name string, sector string, sector_name string, data_type string, value double, unit string")
+    staged = staging.retail_sales(raw).cache()
+    trend = marts.sales_by_sector(staged.withColumn("state_name", F.col("state_id")))
+    got = {(round(r["sales_mwh"]), r["is_sector_peak_month"]): r["sales_mwh_mom_change"] for r in trend.collect()}
+    assert got == {(100_000, 0): None, (110_000, 1): 10_000.0, (5_000_000, 1): None, (4_000_000, 0): -1_000_000.0}
