@@ -1,12 +1,14 @@
 """Marts on hand-written rows, the whole refresh, and registered queries against their SQL."""
 
 import datetime as dt
+import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from opsmart import schemas
-from opsmart.plans import contracts, marts, measures, refresh, staging, summaries
+from opsmart.plans import contracts, ingest, marts, measures, refresh, staging, summaries
 from opsmart.sources import readers
 
 DAY = dt.date(2026, 6, 20)
@@ -154,3 +156,36 @@ def test_trends_stay_within_a_state(spark):
     trend = marts.sales_by_sector(staged.withColumn("state_name", F.col("state_id")))
     got = {(round(r["sales_mwh"]), r["is_sector_peak_month"]): r["sales_mwh_mom_change"] for r in trend.collect()}
     assert got == {(100_000, 0): None, (110_000, 1): 10_000.0, (5_000_000, 1): None, (4_000_000, 0): -1_000_000.0}
+
+
+def test_from_landed_pages_to_tested_marts(spark, raw_folder, tmp_path):
+    def land(source, name, rows, total):
+        folder = tmp_path / "landed" / source
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(json.dumps({"response": {"total": total, "data": rows}}))
+
+    raw, built = tmp_path / "raw", tmp_path / "marts"
+    shutil.copytree(raw_folder, raw)
+    land("demand", "1.json", [{"period": f"2026-06-20T{h:02d}", "value": str(5000 + h)} for h in range(3)], "4")
+    land("demand", "2.json", [{"period": "2026-06-20T05", "value": "NaN"}], "4")
+    (tmp_path / "landed" / "demand" / "3.json").write_text("no json {")
+    plant = {"period": "2026-06", "plantName": "P", "generatorid": "1", "technology": "t", "nameplate-capacity-mw": "100"}
+    land("generators", "1.json", [plant | {"energy_source_code": "NG", "net-summer-capacity-mw": "90"}], "2")
+    sale = {"period": "2026-01", "stateid": "CO", "sales": "2", "price": "10", "customers": "5", "revenue": "1"}
+    land("sales", "1.json", [sale | {"sector": s, "typeName": s} for s in ("RES", "COM")], "2")
+    complete, bad = ingest.ingest(spark, str(tmp_path / "landed"), str(raw))
+    assert {r["table_name"]: (r["fetched"], r["complete"]) for r in complete.collect()} == {
+        "raw_eia_demand": (4, True), "raw_eia_generators": (1, False), "raw_eia_supply_disposition": (2, True)}
+    assert [r["page"].rsplit("/", 1)[1] for r in bad.collect()] == ["3.json"]
+    nodes, edges = (readers.table(spark, str(raw), n).drop("created_at") for n in ("raw_grid_nodes", "raw_grid_edges"))
+    ingest.build_network(nodes.drop("degree_centrality", "betweenness_centrality"), edges, str(raw))
+    report = ingest.refresh_checked(spark, str(raw), str(built))
+    assert report.count() == sum(map(len, contracts.MART_TESTS.values()))
+    demand = spark.read.parquet(f"{built}/mart_eia_weather").first()
+    assert (demand["total_demand_mwh"], demand["peak_demand_mwh"], demand["load_tier"]) == (15003.0, 5002.0, "Moderate Load")
+    ranked = spark.read.parquet(f"{built}/raw_spark_city_summary").collect()
+    assert {r["city_name"] for r in ranked} == {"Denver", "Fort_Collins"}
+    land("demand", "2.json", [{"period": "2026-06-21T05", "value": "x"}], "4")
+    ingest.ingest(spark, str(tmp_path / "landed"), str(raw), ingest.SOURCES[:1])
+    with pytest.raises(ValueError, match="not_null of mart_eia_weather.total_demand_mwh"):
+        ingest.refresh_checked(spark, str(raw), str(built))
