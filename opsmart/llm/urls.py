@@ -75,6 +75,7 @@ def match_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", otherw
     named = best.join(
         rules.select(F.col("key").alias("rule_key"), F.concat("host", "path").alias("rule"), "verdict"), "rule_key"
     ).select(F.col("host").alias("__host"), F.col("head").alias("__head"), "rule", "verdict")
+    named = materialize(named)  # a plain table, so that Spark can split a host with a third of all rows in the join
     joined = judged.join(named, (F.col("host") == F.col("__host")) & (head == F.col("__head")), "left")
     return joined.select(
         *(F.col(f"`{c}`") for c in kept), "host", "path", "rule", F.coalesce("verdict", F.lit(otherwise)).alias("verdict")
