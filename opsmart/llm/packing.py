@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_left
 from collections import defaultdict
@@ -49,6 +50,7 @@ class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads only hold more memory
         self.full = Tokenizer.from_file(path)
         self.bare = Tokenizer(self.full.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -137,7 +139,7 @@ def token_pieces(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         encode = WordTokenizer(tokenizer)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 1 << 20):
                 ids, counts = encode(Texts.of(part.column(1)))
                 ends = np.cumsum(counts)
                 out: dict[str, list] = {k: [] for k in ("row", "piece", "start", "length", "ids")}
@@ -284,7 +286,7 @@ def pack(df: DataFrame, size: int = 2048, length_col: str = "length") -> DataFra
     Lengths that are null or below 1 or above ``size`` are an error. Columns called ``sequence_id`` and ``offset`` are replaced. An empty table gives an empty one.
     """
     spark = df.sparkSession
-    df = df.drop("sequence_id", "offset")
+    df = materialize(df.drop("sequence_id", "offset"))  # so that no task holds the workers of this and of what made the pieces
     at = df.columns.index(length_col)
     schema = ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", __part int, __place long"
 
