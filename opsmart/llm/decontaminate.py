@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, id_and_text, materialize
-from .words import Texts, Words, ragged, slices
+from .words import Texts, Words, mix, ragged, slices
 
 CLOSING = np.zeros(256, dtype=bool)
 CLOSING[list(b".,;:!?")] = True
@@ -26,7 +26,8 @@ class Settings:
     """``stride``: words of half a passage. ``items`` bounds the benchmark items of one latent space, ``indexes`` those in a pass.
 
     A latent space has a dimension for each of its passages (``rank`` at most), so that none of them is lost in it.
-    Terms in more than ``common`` of the documents have no weight, unless an item has fewer than ``least_terms`` others.
+    Terms in more than ``common`` of the documents, outside of copies of items, have no weight, unless an item has fewer
+    than ``least_terms`` others.
     """
 
     stride: int = 24
@@ -94,7 +95,8 @@ def _passages(rows: list, settings: Settings) -> list[Passage]:
 class Index:
     """Passages of some benchmark items in the latent space: ``terms`` to rows of ``latent``, and unit vectors of passages.
 
-    ``unseen`` is the weight of a word that no item has; it counts in the length of a passage's vector.
+    ``unseen`` is the weight of a word that no item has; it counts in the length of a passage's vector. ``squares`` are
+    the products of the benchmark passages' vectors with themselves, by the lengths that ``vectors`` are divided by.
     """
 
     settings: Settings
@@ -103,6 +105,7 @@ class Index:
     weights: np.ndarray
     latent: np.ndarray
     vectors: np.ndarray
+    squares: np.ndarray
     unseen: float
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
@@ -114,6 +117,16 @@ class Index:
         lengths = np.array([len(p.words) for p in self.passages])
         return self.settings.cosine * np.sqrt(np.minimum(lengths / (2 * self.settings.stride), 1)).astype(np.float32)
 
+    @property
+    def held(self) -> np.ndarray:
+        """Least product with each passage of one that holds it, whatever words stand around it.
+
+        Some of the disjoint passages over a copy has its part of the weight, of which a paraphrase keeps ``paraphrase_share``.
+        """
+        s = self.settings
+        over = -(-np.array([len(p.words) + s.stride - 1 for p in self.passages]) // (2 * s.stride))
+        return (0.99 * s.paraphrase_share * self.squares / over).astype(np.float32)
+
 
 def _places(terms: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Index of each hash in sorted ``terms``, -1 for others."""
@@ -142,16 +155,30 @@ def _sums(rows: np.ndarray, places: np.ndarray, inside: np.ndarray, first: np.nd
     return out
 
 
-def _document_counts(docs: DataFrame, terms: Broadcast) -> DataFrame:
-    """(term, n): in how many documents each term is; added up in tasks first."""
+def _runs_of_three(hashes: np.ndarray) -> np.ndarray:
+    """One hash for every three words in a row."""
+    return mix(hashes[:-2] ^ mix(hashes[1:-1] ^ mix(hashes[2:])))
+
+
+def _document_counts(docs: DataFrame, terms: Broadcast, runs: Broadcast) -> DataFrame:
+    """(term, n): in how many documents each term is; added up in tasks first.
+
+    Words in three in a row that an item has (``runs``, sorted) do not count, so copies of an item do not make its words common.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         total = np.zeros(len(terms.value), np.int64)
         for batch in batches:
             for part in slices(batch, 1):
                 words, hashes = word_hashes(Texts.of(part.column(1), lower=True))
-                places = _places(terms.value, hashes)
-                seen = pd.unique((words.owner.astype(np.int64) << 32 | places)[places >= 0])
+                places, owner = _places(terms.value, hashes), words.owner
+                inside, copied = places >= 0, np.zeros(len(places), bool)
+                if len(places) > 2 and len(runs.value):
+                    at = np.flatnonzero(inside[:-2] & inside[1:-1] & inside[2:] & (owner[:-2] == owner[2:]))
+                    at = at[_places(runs.value, _runs_of_three(hashes)[at]) >= 0]
+                    for shift in range(3):
+                        copied[at + shift] = True
+                seen = pd.unique((owner.astype(np.int64) << 32 | places)[inside & ~copied])
                 total += np.bincount(seen & 0xFFFFFFFF, minlength=len(total))
         found = np.flatnonzero(total)
         yield {"term": found, "n": total[found]}
@@ -219,18 +246,21 @@ def fit_index(items: DataFrame, passages: list[Passage], terms: np.ndarray, idf:
     small = basis.T @ _gram_product(items, terms, weights, basis, 4 * s.stride)
     _, turn = np.linalg.eigh((small + small.T) / 2)
     latent = ((basis @ turn[:, ::-1][:, :rank]) * weights[:, None]).astype(np.float32)
-    vectors = np.zeros((len(passages), rank))
+    vectors, products = np.zeros((len(passages), rank)), np.zeros(len(passages))
     for i, p in enumerate(passages):
         at = _places(terms, np.array(p.words, np.uint64))
-        vectors[i] = latent[at[at >= 0]].sum(axis=0) / max(np.sqrt((weights[at[at >= 0]] ** 2).sum()), 1e-9)
-    return Index(s, passages, terms, weights, latent, vectors.astype(np.float32), unseen)
+        at = at[at >= 0]
+        length = max(np.sqrt((weights[at] ** 2).sum()), 1e-9)
+        vectors[i] = latent[at].sum(axis=0) / length
+        products[i] = (np.bincount(at, minlength=len(terms)) ** 2 * weights**2).sum() / length
+    return Index(s, passages, terms, weights, latent, vectors.astype(np.float32), products, unseen)
 
 
 def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float, float, bool]]:
     """(text, passage, cosine, share, answer) of each text of a slice and passage that is found in it.
 
     Every passage of two half passages is compared with all benchmark passages in the latent space; pairs from the
-    cosine bound on are candidates. ``share`` is the part of the passage's words in the longest common
+    cosine bound on are candidates, and so are those in which the benchmark passage's own weight is found (``Index.held``). ``share`` is the part of the passage's words in the longest common
     subsequence with the words around the candidate. Found: from ``share`` on, or from ``paraphrase_share`` on
     if the answer's words stand there together.
     """
@@ -241,6 +271,7 @@ def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float,
     squares = np.concatenate([[0], np.cumsum(np.append(index.weights**2, index.unseen**2)[places])])
     first, last, owner = _half_passages(words.bounds, s.stride)
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
+    bounds, held = index.bounds, index.held
     for at in range(0, len(first), BLOCKS_AT_ONCE):
         stop = min(at + BLOCKS_AT_ONCE + 1, len(first))
         halves = _sums(index.latent, places, inside, first[at:stop], last[at:stop])
@@ -255,8 +286,9 @@ def find_matches(index: Index, column: pa.Array) -> list[tuple[int, int, float,
         square = half_square.copy()
         square[:-1][paired[:-1]] += half_square[1:][paired[:-1]]
         norm = np.sqrt(np.maximum(square[use], 1e-9))[:, None].astype(np.float32)
-        cosines = (whole[use] / norm) @ index.vectors.T
-        for i, j in zip(*np.nonzero(cosines >= index.bounds)):
+        products = whole[use] @ index.vectors.T
+        cosines = products / norm
+        for i, j in zip(*np.nonzero((cosines >= bounds) | (products >= held))):
             half, passage = at + use[i], index.passages[j]
             text = int(owner[half])
             reach = len(passage.words)
@@ -299,7 +331,9 @@ def _indexes(
         if not parts:
             continue
         terms = np.unique(np.array([w for _, passages in parts for p in passages for w in p.words], np.uint64))
-        found = _document_counts(docs, docs.sparkSession.sparkContext.broadcast(terms)).toPandas()
+        runs = np.unique(np.concatenate([_runs_of_three(np.array(p.words, np.uint64)) for _, passages in parts for p in passages]))
+        share = docs.sparkSession.sparkContext.broadcast
+        found = _document_counts(docs, share(terms), share(runs)).toPandas()
         n = np.zeros(len(terms))
         n[found["term"].to_numpy(np.int64)] = found["n"].to_numpy()
         idf = np.log((texts + 1) / (n + 1)) + 0.1

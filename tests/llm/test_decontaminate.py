@@ -82,6 +82,20 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert decontaminate.drop_contaminated(odd_documents, items.limit(0)).count() == 12
 
 
+def test_item_in_a_third_of_all_documents(spark):
+    """Its own copies make all its words common, and the words around it are in no item."""
+    items = [(i, prose(2000 + i, 30)) for i in range(6)]
+    words = iter(range(10**6))
+    other = lambda n: " ".join(f"q{next(words)}" for _ in range(n))
+    hot = items[0][1].split()
+    docs = [(i, f"{other(40 + i % 48)} {' '.join(hot) if i % 3 == 0 else ''} {other(60)}") for i in range(300)]
+    # ordinary documents in which all of the hot item's words are common, never in its order
+    docs += [(1000 + i, " ".join(f"{w} {other(2)}" for w in hot[::-1])) for i in range(100)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontaminate.contaminations(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, 0) for i in range(0, 300, 3)}
+
+
 def test_query_against_plain_comparison(spark):
     """All windows of all documents against all items by longest common subsequence; recall and no false ones."""
     folder = "/root/testdata/sf0.001"
