@@ -8,8 +8,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, id_and_text, materialize
@@ -23,9 +24,10 @@ FEATURES_AT_ONCE = 4096
 
 @dataclass(frozen=True)
 class Settings:
-    """``stride``: words of half a passage. ``items`` bounds the benchmark items of one latent space, ``indexes`` those in a pass.
+    """``stride``: words of half a passage. ``items`` bounds the benchmark passages of one latent space (a long item has
+    several), ``indexes`` is how many spaces a pass has.
 
-    A latent space has a dimension for each of its passages (``rank`` at most), so that none of them is lost in it.
+    A latent space has at most ``rank`` passages and a dimension for each of them, so that none of them is lost in it.
     Terms in more than ``common`` of the documents, outside of copies of items, have no weight, unless an item has fewer
     than ``least_terms`` others.
     """
@@ -84,16 +86,33 @@ def _passages(rows: list, settings: Settings) -> list[Passage]:
         for part in parts:
             if part:
                 own = answer_words if answer_words else part[-settings.answer_words:]
-                masks: dict[int, int] = {}
-                for i, w in enumerate(part):
-                    masks[w] = masks.get(w, 0) | 1 << i
-                out.append(Passage(item, part, own, masks))
+                out.append(_passage(item, part, own))
     return out
 
 
+def _passage_table(items: DataFrame, settings: Settings) -> DataFrame:
+    """(item, words, answer) of each passage of (doc_id, text, __answer): hashes as signed numbers."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                found = _passages(list(zip(*(c.to_pylist() for c in part.columns))), settings)
+                signed = lambda lists: [np.array(x, np.uint64).view(np.int64) for x in lists]
+                yield {"item": [p.item for p in found], "words": signed(p.words for p in found), "answer": signed(p.answer for p in found)}
+
+    return arrow_map(items, "item long, words array<long>, answer array<long>", rows)
+
+
+def _passage(item: int, words: list[int], answer: list[int]) -> Passage:
+    masks: dict[int, int] = {}
+    for i, w in enumerate(words):
+        masks[w] = masks.get(w, 0) | 1 << i
+    return Passage(item, words, answer, masks)
+
+
 @dataclass
 class Index:
-    """Passages of some benchmark items in the latent space: ``terms`` to rows of ``latent``, and unit vectors of passages.
+    """Some benchmark passages in the latent space: ``terms`` to rows of ``latent``, and unit vectors of passages.
 
     ``unseen`` is the weight of a word that no item has; it counts in the length of a passage's vector. ``squares`` are
     the products of the benchmark passages' vectors with themselves, by the lengths that ``vectors`` are divided by.
@@ -186,9 +205,9 @@ def _document_counts(docs: DataFrame, terms: Broadcast, runs: Broadcast) -> Data
     return arrow_map(docs, "term long, n long", rows).groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.ndarray, stride: int) -> np.ndarray:
-    """A' A v for the TF-IDF rows A of all runs of ``stride`` words of ``texts``; tasks add up their rows, Spark adds up tasks."""
-    shared = texts.sparkSession.sparkContext.broadcast((terms, idf, v))
+def _gram_product(passages: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """A' A v for the TF-IDF rows A of all ``passages`` (words); tasks add up their rows, Spark adds up tasks."""
+    shared = passages.sparkSession.sparkContext.broadcast((terms, idf, v))
     width = v.shape[1]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -196,17 +215,17 @@ def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.nd
         weighted = (v * idf[:, None]).astype(np.float32)
         total = np.zeros(v.shape)
         for batch in batches:
-            for part in slices(batch, 1, 1 << 18):
-                words, hashes = word_hashes(Texts.of(part.column(1), lower=True))
-                places = _places(terms, hashes)
-                first, last, _ = _half_passages(words.bounds, stride)
-                y = _sums(weighted, places, np.flatnonzero(places >= 0), first, last)
-                run = np.repeat(np.arange(len(first)), last - first)[places >= 0]
-                own = places[places >= 0]
-                order = np.argsort(own, kind="stable")
-                starts = np.flatnonzero(np.diff(own[order], prepend=-1))
-                if len(starts):
-                    total[own[order][starts]] += np.add.reduceat(y[run[order]], starts, axis=0)
+            column = batch.column(0)
+            places = _places(terms, column.flatten().to_numpy().view(np.uint64))
+            last = np.cumsum(pc.list_value_length(column).to_numpy())
+            first = np.concatenate([[0], last[:-1]])
+            y = _sums(weighted, places, np.flatnonzero(places >= 0), first, last)
+            run = np.repeat(np.arange(len(first)), last - first)[places >= 0]
+            own = places[places >= 0]
+            order = np.argsort(own, kind="stable")
+            starts = np.flatnonzero(np.diff(own[order], prepend=-1))
+            if len(starts):
+                total[own[order][starts]] += np.add.reduceat(y[run[order]], starts, axis=0)
         total *= idf[:, None]
         blocks = range(0, len(total), FEATURES_AT_ONCE)
         yield {"block": list(blocks), "values": [total[i:i + FEATURES_AT_ONCE].tobytes() for i in blocks]}
@@ -215,7 +234,7 @@ def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.nd
         total = sum(np.frombuffer(x) for x in table.column("values").to_pylist())
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "values": pa.array([total.tobytes()], pa.binary())})
 
-    parts = arrow_map(texts, "block long, values binary", rows).groupBy("block").applyInArrow(add, "block long, values binary")
+    parts = arrow_map(passages, "block long, values binary", rows).groupBy("block").applyInArrow(add, "block long, values binary")
     out = np.zeros(v.shape)
     for r in parts.collect():  # terms of one block of items times the rank
         values = np.frombuffer(r["values"]).reshape(-1, width)
@@ -223,10 +242,10 @@ def _gram_product(texts: DataFrame, terms: np.ndarray, idf: np.ndarray, v: np.nd
     return out
 
 
-def fit_index(items: DataFrame, passages: list[Passage], terms: np.ndarray, idf: np.ndarray, unseen: float, s: Settings) -> Index:
-    """Latent space of some benchmark items by randomised SVD.
+def fit_index(spark: SparkSession, passages: list[Passage], terms: np.ndarray, idf: np.ndarray, unseen: float, s: Settings) -> Index:
+    """Latent space of at most ``rank`` benchmark passages by randomised SVD.
 
-    The matrix has the TF-IDF weights of the items' terms in all passages of the items. Its leading right
+    The matrix has a row for each passage, with the TF-IDF weights of its terms. Its leading right
     singular vectors come from subspace iteration on a random start; each product is summed over tasks.
     """
     weights = idf.copy()
@@ -238,12 +257,14 @@ def fit_index(items: DataFrame, passages: list[Passage], terms: np.ndarray, idf:
     weights = np.maximum(weights, 0)
     used = np.flatnonzero(weights)
     terms, weights = terms[used], weights[used]
-    rank = min(s.rank, len(passages), len(terms))
+    rank = min(len(passages), len(terms))
+    words = [(np.array(p.words, np.uint64).view(np.int64).tolist(),) for p in passages]
+    rows = spark.createDataFrame(words, "words array<long>")
     width = min(rank + s.extra, len(terms))
     basis = np.linalg.qr(np.random.default_rng(7).standard_normal((len(terms), width)))[0]
     for _ in range(s.rounds):
-        basis = np.linalg.qr(_gram_product(items, terms, weights, basis, 4 * s.stride))[0]
-    small = basis.T @ _gram_product(items, terms, weights, basis, 4 * s.stride)
+        basis = np.linalg.qr(_gram_product(rows, terms, weights, basis))[0]
+    small = basis.T @ _gram_product(rows, terms, weights, basis)
     _, turn = np.linalg.eigh((small + small.T) / 2)
     latent = ((basis @ turn[:, ::-1][:, :rank]) * weights[:, None]).astype(np.float32)
     vectors, products = np.zeros((len(passages), rank)), np.zeros(len(passages))
@@ -317,22 +338,24 @@ def _indexes(
     s = settings
     answer = F.coalesce(F.col(f"`{answer_col}`").cast("string"), F.lit("")) if answer_col else F.lit("")
     items = id_and_text(benchmark.withColumn("__answer", answer), item_col, text_col, "__answer").dropna(subset=["doc_id"])
-    items = materialize(items.distinct())
-    total = items.count()
-    blocks = -(-total // s.items)
-    texts = docs.count() if total else 0
-    for start in range(0, blocks, s.indexes):
-        parts = []
-        for block in range(start, min(start + s.indexes, blocks)):
-            own = items.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == block)
-            passages = _passages([tuple(r) for r in own.orderBy("doc_id", "text", "__answer").collect()], s)
-            if passages:
-                parts.append((own.select("doc_id", "text"), passages))
-        if not parts:
+    table = materialize(_passage_table(items.distinct(), s))
+    size = min(s.items, s.rank)
+    passes = -(-table.count() // (size * s.indexes))
+    texts = docs.count() if passes else 0
+    spark = docs.sparkSession
+    for number in range(passes):
+        own = table.filter(F.pmod(F.xxhash64("item", "words"), F.lit(passes)) == number)
+        known = [
+            _passage(r["item"], *(np.array(r[c], np.int64).view(np.uint64).tolist() for c in ("words", "answer")))
+            for r in own.orderBy("item", "words", "answer").collect()
+        ]
+        if not known:
             continue
-        terms = np.unique(np.array([w for _, passages in parts for p in passages for w in p.words], np.uint64))
-        runs = np.unique(np.concatenate([_runs_of_three(np.array(p.words, np.uint64)) for _, passages in parts for p in passages]))
-        share = docs.sparkSession.sparkContext.broadcast
+        parts = np.array_split(np.arange(len(known)), -(-len(known) // size))
+        parts = [[known[i] for i in part] for part in parts]
+        terms = np.unique(np.array([w for p in known for w in p.words], np.uint64))
+        runs = np.unique(np.concatenate([_runs_of_three(np.array(p.words, np.uint64)) for p in known]))
+        share = spark.sparkContext.broadcast
         found = _document_counts(docs, share(terms), share(runs)).toPandas()
         n = np.zeros(len(terms))
         n[found["term"].to_numpy(np.int64)] = found["n"].to_numpy()
@@ -340,9 +363,9 @@ def _indexes(
         idf = np.where(n > s.common * texts, -idf, idf)  # below zero: common
         unseen = float(np.log(texts + 1) + 0.1)
         indexes = []
-        for own, passages in parts:
+        for passages in parts:
             at = np.searchsorted(terms, np.unique(np.array([w for p in passages for w in p.words], np.uint64)))
-            indexes.append(fit_index(own, passages, terms[at], idf[at], unseen, s))
+            indexes.append(fit_index(spark, passages, terms[at], idf[at], unseen, s))
         yield indexes
 
 
@@ -353,8 +376,8 @@ def contaminations(
     """(doc_id, item_id, cosine, share, answer) for each document and benchmark item found in it, once each.
 
     The answer of an item is ``answer_col``, or else its last ``answer_words`` words. All passages of all whole texts are
-    searched; the benchmark is a stated set of queries, taken in blocks of ``items``, so that what is broadcast is bounded. Items of more than twice a passage
-    are searched in parts, and a part that is found counts. Null and empty texts hold nothing, items without id or
+    searched; the benchmark is a stated set of queries, taken in blocks of ``items`` passages, so that what is broadcast is
+    bounded. Items of more than twice a passage are searched in parts, and a part that is found counts. Null and empty texts hold nothing, items without id or
     words are left out, rows with a null id are reported with it, repeated rows once.
     """
     known = id_and_text(docs, id_col, text_col)

@@ -96,6 +96,18 @@ def test_item_in_a_third_of_all_documents(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, 0) for i in range(0, 300, 3)}
 
 
+def test_single_parts_of_long_items(spark):
+    """256 items of seven passages each: far more passages than one latent space has dimensions."""
+    items = [(i, prose(5000 + i, 300)) for i in range(256)]
+    docs = []
+    for i in range(256):
+        words, part = items[i][1].split(), i % 6 * 48
+        docs.append((i, " ".join([prose(9000 + i, 30 + i % 48), *words[part:part + 48], prose(9500 + i, 60)])))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminations(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, i) for i in range(256)}
+
+
 def test_query_against_plain_comparison(spark):
     """All windows of all documents against all items by longest common subsequence; recall and no false ones."""
     folder = "/root/testdata/sf0.001"
