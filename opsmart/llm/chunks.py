@@ -106,8 +106,10 @@ def repeated_passages(
 
     A chunk is repeated if another document has one with the same digest. Runs of repeated chunks with at
     least ``min_words`` words are passages. The chunks around a passage's ends reach beyond it, so of the passages of 51 words
-    one or two in a thousand fall below ``min_words``, of those of 60 words one in ten thousand. ``first_doc_id`` is the
-    smallest id that has a chunk of the passage; ``later`` marks passages of other documents than that one, those to remove.
+    one or two in a thousand fall below ``min_words``, of those of 60 words one in ten thousand. ``later`` marks what to
+    remove: chunks that a document with a smaller id has. A passage has a row for each stretch of chunks that are alike in
+    that, so every chunk stays in its first document. A stretch to remove may be shorter than ``min_words``; one that stays,
+    as where other words end the copies, has a row from ``min_words`` on. ``first_doc_id`` is the smallest id of the stretch.
 
     Repeats inside one document do not count, nor do copies of its row under the same id; whole texts are chunked. Digests are
     counted before the shuffle, written, and joined back, so a passage that a third of all documents share is
@@ -117,14 +119,19 @@ def repeated_passages(
     ends = found.groupBy("digest", "check").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("__last"))
     shared = materialize(ends.filter(F.col("first_doc_id") < F.col("__last")).drop("__last"))
     hits = found.join(shared, ["digest", "check"])
-    run = F.col("number") - F.row_number().over(W.partitionBy("doc_id", "row").orderBy("number"))
-    passages = hits.withColumn("__run", run).groupBy("doc_id", "row", "__run").agg(
+    in_order = W.partitionBy("doc_id", "row").orderBy("number")
+    later = F.col("first_doc_id") < F.col("doc_id")
+    runs = hits.withColumn("later", later).withColumn("__run", F.col("number") - F.row_number().over(in_order))
+    turns = F.sum(F.coalesce(F.col("later") != F.lag("later").over(in_order), F.lit(False)).cast("int"))
+    stretch = turns.over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    stretches = runs.withColumn("__stretch", stretch).groupBy("doc_id", "row", "__run", "__stretch").agg(
         F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
         F.sum("words").alias("words"), F.count("*").alias("chunks"), F.min("first_doc_id").alias("first_doc_id"),
+        F.first("later").alias("later"),
     )
-    return passages.filter(F.col("words") >= min_words).select(
-        "doc_id", "row", "start", "end", "words", "chunks", "first_doc_id",
-        (F.col("doc_id") > F.col("first_doc_id")).alias("later"),
+    whole = F.sum("words").over(W.partitionBy("doc_id", "row", "__run"))
+    return stretches.withColumn("__whole", whole).filter(F.when(F.col("later"), F.col("__whole")).otherwise(F.col("words")) >= min_words).select(
+        "doc_id", "row", "start", "end", "words", "chunks", "first_doc_id", "later"
     )
 
 

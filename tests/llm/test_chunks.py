@@ -48,6 +48,25 @@ def test_passages_of_several_documents(spark):
     assert cut[0] == texts[0] and cut[50] == texts[50] and len(cut[3]) < len(texts[3]) - 150
 
 
+def test_every_chunk_stays_in_a_document(spark):
+    """A text, its extended form twice, and one whose new part is short and in the middle."""
+    a, b, short, c = prose(31, 90), prose(32, 90), "six new words stand here now", prose(33, 90)
+    rows = [(1, a), (5, f"{a} {b}"), (9, f"{a} {b}"), (12, f"{a} {short} {b} {c}"), (14, f"{a} {short} {b} {c}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = chunks.repeated_passages(df)
+    cut = dict(chunks.without_repeats(df, found).collect())
+    left = " ".join(cut[i] for i in sorted(cut)).split()
+    assert cut[1] == a and cut[5].split()[-80:] == b.split()[-80:] and len(cut[9]) < 40
+    assert not set(f"{a} {short} {b} {c}".split()) - set(left)
+    kept = {d for i, t in rows for d in digests(t)}
+    stays, passages = set(), found.filter("later").collect()
+    for r in chunks.chunks(df).collect():
+        gone = any(p["doc_id"] == r["doc_id"] and p["start"] <= r["start"] and r["end"] <= p["end"] for p in passages)
+        if not gone:
+            stays.add((r["digest"], r["check"]))
+    assert stays == kept
+
+
 def test_odd_rows(odd_documents, no_documents):
     found = {(r["doc_id"], r["later"]) for r in chunks.repeated_passages(odd_documents).collect()}
     assert found == {(4, False), (9, True)}  # copies of row 4 are the same document
