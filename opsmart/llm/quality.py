@@ -15,7 +15,7 @@ from .common import arrow_map, bounded_sample, id_and_text
 from .words import SPACE, Texts, Words, slices
 
 SYMBOLS = np.zeros(256, dtype=bool)
-SYMBOLS[list(b"[#*$%&|<>]")] = True
+SYMBOLS[list(b"#*$%&|<>")] = True
 DIGITS = np.zeros(256, dtype=bool)
 DIGITS[list(b"0123456789")] = True
 UPPER = np.zeros(256, dtype=bool)

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from opsmart.llm import quality
+from opsmart.llm import quality, queries
 
 
 def plain_counts(text):
@@ -12,18 +12,34 @@ def plain_counts(text):
     windows = Counter(zip(words, words[1:], words[2:]))
     inside = {j for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-    symbols = len(re.findall(r"[\[#*$%&|<>\]]", text))
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(inside)
 
 
 def test_counts_equal_plain_counting():
-    texts = ["a b c a b c d", "é ß\nx y\nx y\n \n\t\nx y", "", " ", "[#*] $%& |<>", "w " * 50, "a b a b a b", None, "a b c\x1cd"]
+    texts = ["a b c a b c d", "é ß\nx y\nx y\n \n\t\nx y", "", " ", "[#*] $%& |<>", "[a] [b] # *", "w " * 50, "a b a b a b", None, "a b c\x1cd"]
     got = quality.text_counts(pa.array(texts))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     for i, text in enumerate(texts):
         assert tuple(int(got[n][i]) for n in names) == plain_counts(text or "")
 
 
+def test_brackets_are_no_symbols():
+    assert int(quality.text_counts(pa.array(["[a] [b] # *"]))["n_symbols"][0]) == 2
+
+
+def test_query_against_plain_counting(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = queries.op3_quality_rules(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n_words, *_, repeated = counts = plain_counts(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == counts
+        assert r["base_failed"] == (n_words < 50 or 100 * repeated > 50 * n_words)
+        assert not (r["kept"] and r["base_failed"])
+
+
 def test_trees_learn_and_respect_directions():
     rng = np.random.default_rng(1)
     x = rng.random((2000, 3))
