@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chunks, decontaminate, lm, packing, quality, secrets, simhash, toxicity, urls
+from . import audit, chat, chunks, decontaminate, lm, packing, quality, secrets, shallot, simhash, topk, toxicity, urls
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -121,6 +121,21 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every vector after three rounds from sixteen starting vectors."""
+    return shallot.cluster(_table(spark, folder, "embeddings"), k=16, rounds=3, scale=64, size=64, seed=1)
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five vectors with the highest inner product for every vector whose id is divisible by 50."""
+    return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove at each step of all their orders, per language."""
+    return audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -132,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_exact_top_k": op12_exact_top_k,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _RULE_FITS = " ".join(
@@ -139,7 +157,93 @@ _RULE_FITS = " ".join(
     for h, p, v in sorted(RULES, key=lambda r: (-len(r[0].split(".")), -len(r[1])))
 )
 
+def _cluster_rounds(rounds: int) -> str:
+    """SQL of the assignments a0, a1, ... to the centroids c0, c1, ... and of the updates between them."""
+    parts = []
+    for r in range(rounds + 1):
+        parts.append(f"""d{r} AS (
+    SELECT v.id, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM v JOIN c{r} c ON c.i = v.i GROUP BY v.id, c.cluster),
+a{r} AS (
+    SELECT id, cluster, distance FROM d{r} QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (
+    SELECT a.cluster, v.i, sum(v.x)::BIGINT AS total, count(*) AS n FROM a{r} a JOIN v ON v.id = a.id GROUP BY a.cluster, v.i),
+c{r + 1} AS (
+    SELECT c.cluster, c.i, coalesce((total - ((total % n) + n) % n) // n, c.x) AS x
+    FROM c{r} c LEFT JOIN s{r} s ON s.cluster = c.cluster AND s.i = c.i)""")
+    return ",\n".join(parts)
+
+
+_EACH_FILTER = ("length_fails", "repeat_fails", "capital_fails", "symbol_fails", "copy_fails")
+
 ORACLE: dict[str, str] = {
+    "op11_centroid_clusters": f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+v AS (
+    SELECT id, vec_id, p.i, floor(64 * embedding[p.i]::DOUBLE)::BIGINT AS x
+    FROM kept, (SELECT unnest(range(1, 65)) AS i) p),
+starts AS (SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM kept QUALIFY cluster < 16),
+c0 AS (SELECT cluster, v.i, v.x FROM starts JOIN v ON v.id = starts.id),
+{_cluster_rounds(3)},
+digests AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY cluster),
+inertias AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM a3 GROUP BY cluster)
+SELECT vec_id, a.cluster::INT AS cluster, distance, cluster_inertia, (SELECT sum(distance) FROM a3)::BIGINT AS inertia, centroid_sha256
+FROM a3 a JOIN kept ON kept.id = a.id JOIN digests d ON d.cluster = a.cluster JOIN inertias n ON n.cluster = a.cluster
+""",
+    "op12_exact_top_k": """
+WITH kept AS (
+    SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)),
+v AS (
+    SELECT id, vec_id, p.i, floor(256 * embedding[p.i]::DOUBLE)::BIGINT AS x
+    FROM kept, (SELECT unnest(range(1, 65)) AS i) p),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+    FROM v q JOIN v c ON c.i = q.i AND c.id <> q.id WHERE q.vec_id % 50 = 0 GROUP BY q.id, c.id, q.vec_id, c.vec_id)
+SELECT query_id, row_number() OVER best AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+""",
+    "op13_filter_audit": f"""
+WITH words AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents),
+judged AS (
+    SELECT doc_id, part, len(words) < 200 AS length_fails, 100 * len(list_distinct(words)) < 50 * len(words) AS repeat_fails,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS capital_fails,
+        regexp_matches(text, '[#$%&*|]') AS symbol_fails,
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS copy_fails
+    FROM words),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+groups AS (
+    SELECT part, {" || ".join(f"CASE WHEN {c} THEN '{f}' ELSE '' END" for f, c in zip("ABCDE", _EACH_FILTER))} AS fails,
+        count(*) AS docs, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+    FROM judged LEFT JOIN known USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+    FROM orders, (SELECT unnest(range(1, 6))::INT AS step) n),
+met AS (
+    SELECT g.part, s.filter_order, s.step, s.f, docs, good, toxic, contains(fails, f) AS hit, fails = f AS single,
+        len(list_filter(string_split(earlier, ''), lambda x: x <> '' AND contains(fails, x))) > 0 AS gone
+    FROM groups g, steps s),
+counted AS (
+    SELECT part, filter_order, step, f,
+        sum(CASE WHEN NOT gone AND NOT hit THEN docs ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN NOT gone AND hit THEN docs ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN gone AND hit THEN docs ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN single THEN docs ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM met GROUP BY ALL)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM counted
+""",
     "op9_chat_format": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
