@@ -12,6 +12,7 @@ from opsmart import rules, session
 from opsmart.functions import calendar, field, weather as weather_functions
 from opsmart.functions.core import count_if, exact_avg, exact_sum, text_or_empty, to_number
 from opsmart.operators import filters, graph, joins, ordered, reshape, rollups
+from opsmart.operators.betweenness import scored_nodes
 from opsmart.plans import contracts, marts, measures, staging, summaries
 from opsmart.session import materialize
 from opsmart.sources import readers
@@ -136,7 +137,7 @@ def calendar_parts(s, d):
 def _grid_mart(s, d):
     """Grid mart over nodes scored by both centralities of the network."""
     nodes, edges = raw.grid_network(s, d)
-    scores = graph.scored_nodes(nodes, edges).withColumnRenamed("node", "node_id")
+    scores = scored_nodes(nodes, edges).withColumnRenamed("node", "node_id")
     scored = raw.grid_nodes(s, d).join(scores, "node_id")
     return marts.grid_operations(staging.grid_nodes(scored), raw.grid_edges(s, d))
 

@@ -9,17 +9,14 @@ and by adaptive skew joins: nothing is collected per node.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import discard, materialize
+from ..session import discard, materialize, materialize_counted
 
-SOURCES_PER_BATCH = 2000
-FOLD_ROUNDS = 20
-FOLD_SHARE = 0.01
-MERGE_AFTER = 32
 JOINS_PER_PLAN = 8
 
 
@@ -74,9 +71,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     cost little more than the first ones, and long chains need no more rounds
     than other networks of the same size.
     """
-    links = materialize(_linked_pairs(edges, "src", "dst"))
+    links, seen = materialize_counted(_linked_pairs(edges, "src", "dst"))
     joined = []
-    while not links.isEmpty():
+    while seen["rows"]:
         place = lambda c: F.xxhash64(c, F.lit(len(joined)))
         ends = links.select(
             F.inline(
@@ -91,7 +88,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         joined.append(materialize(nearest.select("node", root.alias("root"))))
         first = joined[-1].select(F.col("node").alias("a"), F.col("root").alias("root_a"))
         second = joined[-1].select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        links, old = materialize(_linked_pairs(links.join(first, "a").join(second, "b"), "root_a", "root_b")), links
+        old = links
+        links, seen = materialize_counted(_linked_pairs(links.join(first, "a").join(second, "b"), "root_a", "root_b"))
         discard(old)
     everyone = nodes.select("node")
     if not joined:
@@ -129,42 +127,82 @@ def islands_without(edges: DataFrame, nodes: DataFrame, removed: DataFrame) -> D
     return connected_components(remove_nodes(edges, removed), left)
 
 
+@dataclass
+class _Run:
+    """Distances written in some rounds: the table, its rows and its largest distance."""
+
+    table: DataFrame
+    rows: int
+    most: object
+
+
+def _shortest(runs: list[_Run]) -> DataFrame:
+    """The smallest distance that the runs hold for each (source, node)."""
+    return reduce(DataFrame.unionByName, [r.table for r in runs]).groupBy("source", "node").agg(F.min("distance").alias("distance"))
+
+
+def _pushed(runs: list[_Run], new: _Run) -> tuple[list[_Run], list[DataFrame]]:
+    """The runs with one more, and tables no longer needed. Neighbours of like size become one run, so that runs stay
+    few and a row is rewritten seldom: as often as the logarithm of the rows."""
+    runs, old = [*runs, new], []
+    while len(runs) > 1 and runs[-2].rows <= 2 * runs[-1].rows:
+        a, b = runs.pop(), runs.pop()
+        table, seen = materialize_counted(_shortest([a, b]), most=F.max("distance"))
+        old += [a.table, b.table]
+        runs.append(_Run(table, seen["rows"], seen["most"]))
+    return runs, old
+
+
 def _distances(links: DataFrame, starts: DataFrame, target=None) -> DataFrame:
     """Shortest distance for each (source, node). ``starts`` holds the sources.
 
-    Each round extends only the rows that improved in the round before. With a
-    ``target``, rows that are already longer than the best way to it stop.
+    Delta-stepping: distances are settled bucket by bucket, a bucket being as wide as the largest weight. A round
+    extends the rows that the round before found in the bucket and writes only rows that are new or shorter. A row
+    can only be reached from rows at most one weight away, so runs of rows that end before that are not read
+    again, and what is written and read grows with the rows found, not with rounds times rows. With a ``target`` the
+    rows of buckets after the one that settles it are left out.
     """
     cost = dict(links.dtypes)["weight"]
-    state = materialize(
-        starts.select(
-            F.col("node").alias("source"), "node", F.lit(0).cast(cost).alias("distance"), F.lit(True).alias("fresh")
-        )
-    )
+    width = links.agg(F.max("weight")).first()[0]
+    near = F.min(F.when(F.col("node") == F.lit(target), F.col("distance"))) if target is not None else F.lit(None).cast(cost)
+    values = {"most": F.max("distance"), "target": F.min(near) if target is None else near}
+    first = starts.select(F.col("node").alias("source"), "node", F.lit(0).cast(cost).alias("distance"))
+    table, seen = materialize_counted(first, **values)
+    runs = [_Run(table, seen["rows"], seen["most"])]
+    if width is None or not seen["rows"]:
+        return table
+    low, front, reached, old = 0, table, seen["target"], []
     while True:
-        active = state.filter("fresh")
-        if target is not None:
-            reached = state.filter(F.col("node") == F.lit(target)).agg(F.min("distance").alias("d")).first()["d"]
-            if reached is not None:
-                active = active.filter(F.col("distance") < F.lit(reached))
-        offered = active.join(links, active["node"] == links["src"]).select(
-            "source", F.col("dst").alias("node"), (F.col("distance") + F.col("weight")).cast(cost).alias("distance"),
-            F.lit(None).cast(cost).alias("known"),
-        )
-        held = state.select("source", "node", "distance", F.col("distance").alias("known"))
-        old = state
-        state = materialize(
-            held.unionByName(offered)
-            .groupBy("source", "node")
-            .agg(F.min("distance").alias("distance"), F.min("known").alias("known"))
-            .select(
-                "source", "node", "distance",
-                (F.col("known").isNull() | (F.col("distance") < F.col("known"))).alias("fresh"),
+        end = low + width
+        while front is not None:
+            offered = front.join(links, front["node"] == links["src"]).select(
+                "source", F.col("dst").alias("node"), (F.col("distance") + F.col("weight")).cast(cost).alias("distance"),
+                F.lit(None).cast(cost).alias("known"),
             )
-        )
-        discard(old)
-        if state.filter("fresh").isEmpty():
-            return state.select("source", "node", "distance")
+            live = [r.table for r in runs if r.most >= low - width]
+            held = reduce(DataFrame.unionByName, live).select("source", "node", F.lit(None).cast(cost).alias("distance"), F.col("distance").alias("known"))
+            best = held.unionByName(offered).groupBy("source", "node").agg(F.min("distance").alias("distance"), F.min("known").alias("known"))
+            better = best.filter(F.col("distance").isNotNull() & (F.col("known").isNull() | (F.col("distance") < F.col("known"))))
+            inside = F.count_if(F.col("distance") < F.lit(end))
+            table, seen = materialize_counted(better.select("source", "node", "distance"), inside=inside, **values)
+            for unread in old:
+                discard(unread)
+            front, old = None, []
+            if seen["inside"]:
+                front = table.filter(F.col("distance") < F.lit(end))
+            if seen["target"] is not None:
+                reached = seen["target"] if reached is None else min(reached, seen["target"])
+            if seen["rows"]:
+                runs, old = _pushed(runs, _Run(table, seen["rows"], seen["most"]))
+        waiting = [r for r in runs if r.most >= end]
+        if not waiting or (reached is not None and reached < end):
+            found = _shortest(runs)
+            return found.filter(F.col("distance") < F.lit(end)) if target is not None else found
+        ahead = _shortest([r for r in runs if r.most >= low - width]).filter(F.col("distance") >= F.lit(end))
+        low = ahead.agg(F.min("distance")).first()[0]
+        if low is None:  # what lies there was found at a shorter distance since
+            return _shortest(runs)
+        front = ahead.filter(F.col("distance") < F.lit(low + width))
 
 
 def _one_node(edges: DataFrame, node) -> DataFrame:
@@ -208,141 +246,3 @@ def shortest_path(edges: DataFrame, source, target) -> DataFrame:
         discard(old)
     order = Window.orderBy("distance")  # the stations of one path
     return stations.join(found, "node").select((F.row_number().over(order) - 1).alias("step"), "node", "distance")
-
-
-def _fold_leaves(links: DataFrame, nodes: DataFrame, rounds: int):
-    """Fold nodes with one neighbour into it, round by round, without losing them.
-
-    Stops when a round would fold few nodes, since each round rewrites all links;
-    what is left unfolded stays in the core. Every node carries ``reach`` (itself plus all nodes folded into it) and
-    ``squares`` (sum of squared reaches of the branches folded into it). Returns
-    the remaining links, the remaining nodes and the folded nodes of each round.
-    """
-    left = nodes.select("node").withColumns({"reach": F.lit(1).cast("double"), "squares": F.lit(0).cast("double")})
-    folded = []
-    for _ in range(rounds):
-        degrees = links.groupBy("src").agg(F.count("*").alias("degree"), F.min("dst").alias("parent"))
-        single = degrees.filter("degree = 1").select(F.col("src").alias("node"), "parent")
-        # Two nodes that only have each other: the larger one folds.
-        mutual = single.select(F.col("parent").alias("node"), F.col("node").alias("parent"))
-        keep = single.join(mutual, ["node", "parent"], "left_semi").filter("node < parent")
-        leaves = materialize(single.join(keep, ["node", "parent"], "left_anti").join(left, "node"))
-        if leaves.count() <= FOLD_SHARE * left.count():
-            break
-        folded.append(leaves)
-        gained = leaves.groupBy(F.col("parent").alias("node")).agg(
-            F.sum("reach").alias("more"), F.sum(F.col("reach") * F.col("reach")).alias("more_squares")
-        )
-        left = materialize(
-            left.join(leaves.select("node"), "node", "left_anti").join(gained, "node", "left").select(
-                "node",
-                (F.col("reach") + F.coalesce("more", F.lit(0.0))).alias("reach"),
-                (F.col("squares") + F.coalesce("more_squares", F.lit(0.0))).alias("squares"),
-            )
-        )
-        links = materialize(remove_nodes(links, leaves))
-    return links, left, folded
-
-
-def _add_up(frames: list[DataFrame], keys: list[str], value: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames).groupBy(*keys).agg(F.sum(value).alias(value))
-
-
-def _repeated(start: DataFrame, step, keys: list[str], value: str) -> list[DataFrame]:
-    """Results of applying ``step`` again and again until no row is left; many results are added up on the way."""
-    results, current = [], materialize(step(start))
-    while not current.isEmpty():
-        results.append(current)
-        if len(results) > MERGE_AFTER:
-            results = [materialize(_add_up(results, keys, value))]
-        current = materialize(step(current))
-    return results
-
-
-def _dependencies(links: DataFrame, reach: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For one batch of sources: what each node carries for them, and how much each source can reach."""
-    found = _distances(links, sources)
-    here = found.select("source", F.col("node").alias("src"), F.col("distance").alias("from_distance"))
-    there = found.select("source", F.col("node").alias("dst"), F.col("distance").alias("to_distance"))
-    ways = materialize(
-        here.join(links, "src").join(there, ["source", "dst"])
-        .filter(F.col("from_distance") + F.col("weight") == F.col("to_distance"))
-        .select("source", "src", "dst")
-    )
-    # Number of shortest ways to each node, added up over their number of hops.
-    origin = sources.select(F.col("node").alias("source"), "node", F.lit(1.0).alias("ways"))
-    onward = lambda now: (
-        now.join(ways.withColumnRenamed("src", "node"), ["source", "node"])
-        .groupBy("source", F.col("dst").alias("node")).agg(F.sum("ways").alias("ways"))
-    )
-    keys = ["source", "node"]
-    number = materialize(_add_up([origin, *_repeated(origin, onward, keys, "ways")], keys, "ways"))
-    into = number.select("source", F.col("node").alias("dst"), F.col("ways").alias("ways_to"))
-    outof = number.select("source", F.col("node").alias("src"), F.col("ways").alias("ways_from"))
-    share = materialize(
-        ways.join(into, ["source", "dst"]).join(outof, ["source", "src"])
-        .select("source", "src", "dst", (F.col("ways_from") / F.col("ways_to")).alias("share"))
-    )
-    # Nodes behind a node, split over equal ways and added up over the number of hops.
-    ends = found.join(reach.select("node", "reach"), "node").select("source", "node", F.col("reach").alias("carried"))
-    back = lambda now: (
-        share.join(now.select("source", F.col("node").alias("dst"), "carried"), ["source", "dst"])
-        .groupBy("source", F.col("src").alias("node")).agg(F.sum(F.col("share") * F.col("carried")).alias("carried"))
-    )
-    carried = reduce(DataFrame.unionByName, _repeated(ends, back, keys, "carried"), ends.filter(F.lit(False)))
-    starts = reach.select(F.col("node").alias("source"), F.col("reach").alias("weight"))
-    through = materialize(
-        carried.filter("source != node").join(starts, "source")
-        .groupBy("node").agg(F.sum(F.col("weight") * F.col("carried")).alias("through"))
-    )
-    reachable = materialize(ends.groupBy(F.col("source").alias("node")).agg(F.sum("carried").alias("size")))
-    return through, reachable
-
-
-def betweenness_centrality(
-    edges: DataFrame, nodes: DataFrame, batch: int = SOURCES_PER_BATCH, fold_rounds: int = FOLD_ROUNDS
-) -> DataFrame:
-    """Weighted betweenness of every node, scaled by 2 / ((n-1)(n-2)), end points not counted.
-
-    Exact (Brandes 2001): all sources are used. Two things keep it feasible on
-    large networks. Trees hanging off the meshed core are folded away first;
-    pairs that involve them are counted by formula. The core's sources then run
-    in batches, so that at most ``batch`` times the core's nodes are held at once.
-    """
-    nodes = materialize(nodes.select("node").distinct())
-    links = materialize(arcs(edges))
-    links, core, folded = _fold_leaves(links, nodes, fold_rounds)
-    core = materialize(core)
-    n = nodes.count()
-    batches = max(1, -(-core.count() // batch))
-    slot = F.pmod(F.xxhash64("node"), F.lit(batches))
-    parts = [_dependencies(links, core, core.filter(slot == i).select("node")) for i in range(batches)]
-    through = _add_up([t for t, _ in parts], ["node"], "through")
-    sizes = reduce(DataFrame.unionByName, [s for _, s in parts])
-
-    known = core.join(sizes, "node")
-    members = [known]
-    for leaves in reversed(folded):
-        roots = reduce(DataFrame.unionByName, members).select(F.col("node").alias("parent"), "size")
-        members.append(leaves.join(roots, "parent").select("node", "reach", "squares", "size"))
-    everyone = reduce(DataFrame.unionByName, members)
-
-    # Pairs on different sides of the node among its folded branches and the rest of its component.
-    others, rest = F.col("size") - 1, F.col("size") - F.col("reach")
-    branches = (others * others - F.col("squares") - rest * rest) / 2
-    scale = 2.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    return materialize(
-        everyone.join(through, "node", "left").select(
-            "node",
-            ((branches + F.coalesce("through", F.lit(0.0)) / 2) * F.lit(scale)).alias("betweenness_centrality"),
-        )
-    )
-
-
-def scored_nodes(nodes: DataFrame, edges: DataFrame, digits: int = 4) -> DataFrame:
-    """Node table with both centralities, rounded half to even."""
-    degree = degree_centrality(edges, nodes).select("node", F.bround("degree_centrality", digits).alias("degree_centrality"))
-    between = betweenness_centrality(edges, nodes).select(
-        "node", F.bround("betweenness_centrality", digits).alias("betweenness_centrality")
-    )
-    return nodes.join(degree, "node", "left").join(between, "node", "left")

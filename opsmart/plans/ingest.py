@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import graph, quality
+from ..operators import betweenness, quality
 from ..session import materialize
 from ..sources import readers, writers
 from . import contracts, refresh, staging
@@ -53,7 +53,7 @@ def ingest(spark: SparkSession, landed: str, raw_folder: str, sources: tuple[Sou
 def build_network(nodes: DataFrame, edges: DataFrame, raw_folder: str) -> None:
     """Write the raw network tables: nodes (``node_id``) with both centralities, and lines."""
     ends = edges.select(F.col("source_node").alias("src"), F.col("target_node").alias("dst"), F.col("distance_miles").alias("weight"))
-    scores = graph.scored_nodes(nodes.select(F.col("node_id").alias("node")), ends)
+    scores = betweenness.scored_nodes(nodes.select(F.col("node_id").alias("node")), ends)
     scored = nodes.join(scores, F.col("node_id") == F.col("node"), "left").drop("node")
     writers.replace_files(writers.stamped(scored), raw_folder, "raw_grid_nodes")
     writers.replace_files(writers.stamped(edges), raw_folder, "raw_grid_edges")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def local_session(cores: int | str = "*", name: str = "opsmart", **conf: str) -> SparkSession:
@@ -65,6 +65,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, **values: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and the row count (``rows``) and other aggregates taken while the table is written."""
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in values.items())))
+    return table, seen.get
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table made by ``materialize`` that a later round has replaced, so that rounds do not pile up."""
     spark = df.sparkSession

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from opsmart.operators import graph
+from opsmart.operators import betweenness, blocks, graph
 
 # The 15-node network of the published example (miles).
 LINES = [
@@ -32,7 +32,7 @@ def power(spark):
 
 def test_power_grid_scores(power):
     nodes, edges = power
-    got = {r["node"]: (r["degree_centrality"], r["betweenness_centrality"]) for r in graph.scored_nodes(nodes, edges).collect()}
+    got = {r["node"]: (r["degree_centrality"], r["betweenness_centrality"]) for r in betweenness.scored_nodes(nodes, edges).collect()}
     assert len(got) == 15
     for node, (degree, between) in got.items():
         assert degree == DEGREE.get(node, 0.0714)
@@ -64,8 +64,8 @@ def test_network_with_equal_paths(spark):
     got = [r["distance"] for r in graph.shortest_distances(edges, 0).orderBy("node").collect()]
     assert got == [0, 2, 5, 3, 10, 6, 5, 6, 14, 15, 7, 8, 8, 9, 11, 7, 12, 17, 17, 20, 8, 9, 11, 12, 13]
     golden = {2: 0.4185, 5: 0.4149, 3: 0.2826, 4: 0.2464, 1: 0.2391, 10: 0.2083, 6: 0.1975, 7: 0.1739}
-    plain = {r["node"]: r["betweenness_centrality"] for r in graph.betweenness_centrality(edges, nodes).collect()}
-    batched = {r["node"]: r["betweenness_centrality"] for r in graph.betweenness_centrality(edges, nodes, batch=10, fold_rounds=1).collect()}
+    plain = {r["node"]: r["betweenness_centrality"] for r in betweenness.betweenness_centrality(edges, nodes).collect()}
+    batched = {r["node"]: r["betweenness_centrality"] for r in betweenness.betweenness_centrality(edges, nodes, whole_steps=0, links_in_memory=0, rows_per_batch=100).collect()}
     assert {n: round(plain[n], 4) for n in golden} == golden
     assert all(abs(plain[n] - batched[n]) < 1e-12 for n in plain)
     islands = graph.connected_components(spark.createDataFrame(chords, "src int, dst int, weight int"), nodes)
@@ -104,7 +104,7 @@ def test_random_networks_against_brute_force(spark, seed):
     edges = [(rng.randrange(18), rng.randrange(18), rng.randint(1, 4)) for _ in range(20)] + [(20, 21, 1), (22, 23, 2), (23, 24, 1), (3, 3, 1)]
     df = spark.createDataFrame(edges, "src long, dst long, weight long")
     nodes = spark.range(n).withColumnRenamed("id", "node")
-    got = {r["node"]: r["betweenness_centrality"] for r in graph.betweenness_centrality(df, nodes).collect()}
+    got = {r["node"]: r["betweenness_centrality"] for r in betweenness.betweenness_centrality(df, nodes).collect()}
     for node, expected in enumerate(brute_betweenness(n, edges)):
         assert abs(got[node] - expected) < 1e-9, node
     parent = list(range(n))
