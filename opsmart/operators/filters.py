@@ -67,8 +67,8 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def first_non_empty(first: DataFrame, second: DataFrame) -> DataFrame:
-    """The second source only when the first has no row. Looks at one row of the first."""
-    return second if first.isEmpty() else first
+    """The second source only when the first has no row. The choice is part of the plan: no job runs to make it."""
+    return first.unionByName(second.filter(~first.exists()))
 
 
 def present_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:

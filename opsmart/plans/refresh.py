@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import Audit, ColumnTest
 from ..sources import readers, writers
 from . import marts, staging, summaries
 
 
-def refresh(spark: SparkSession, raw_folder: str, mart_folder: str) -> list[str]:
-    """Read ``raw_*`` Parquet tables, write all marts, return their paths.
+def build(
+    spark: SparkSession, raw_folder: str, mart_folder: str, tests: Mapping[str, Sequence[ColumnTest]]
+) -> tuple[list[str], list[DataFrame]]:
+    """Read ``raw_*`` tables and write a version of every mart that is not published yet: their paths, and reports of ``tests``.
 
-    Detail marts are partitioned by year and month. The daily summary reads the
-    written marts, so each raw table is scanned once.
+    Detail marts are partitioned by year and month. Marts that others read are read from the new versions, so each raw
+    table is scanned once. Row-wise tests are counted while a mart is written.
     """
     raw = lambda name: readers.table(spark, raw_folder, name)
-    written = {}
+    paths, reports = [], []
 
     def put(name: str, df: DataFrame, by: tuple = ()) -> DataFrame:
-        written[name] = writers.replace_files(df, mart_folder, name, by)
-        return spark.read.parquet(written[name])
+        audit = Audit(df, name, tests.get(name, ()))
+        paths.append(writers.write_version(audit.frame, mart_folder, name, by))
+        written = spark.read.parquet(paths[-1])
+        if audit.tests:
+            reports.append(audit.report(written))
+        return written
 
     days = staging.weather_days(raw("raw_weather"))
     monthly = ("year", "month_num")
@@ -38,7 +45,23 @@ def refresh(spark: SparkSession, raw_folder: str, mart_folder: str) -> list[str]
     ranked = summaries.ranked_cities(daily)
     put("raw_spark_city_summary", writers.stamped(writers.city_summary_export(ranked)))
     put("city_grid_summary", summaries.cities_with_grid(ranked, summaries.grid_by_city(grid)))
-    return list(written.values())
+    return paths, reports
+
+
+def publish(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Publish written versions, and remove versions that were replaced long ago."""
+    for path in paths:
+        writers.publish(spark, path)
+    for path in paths:
+        folder, name = path.rsplit("/", 1)[0].removesuffix(writers.VERSIONS).rsplit("/", 1)
+        writers.remove_old_versions(spark, folder, name)
+
+
+def refresh(spark: SparkSession, raw_folder: str, mart_folder: str) -> list[str]:
+    """Write all marts and publish them untested; their paths. ``ingest.refresh_checked`` publishes only what passes."""
+    paths, _ = build(spark, raw_folder, mart_folder, {})
+    publish(spark, paths)
+    return paths
 
 
 STAGING_MODELS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {

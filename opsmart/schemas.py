@@ -76,3 +76,6 @@ DAILY_WEATHER_PAGE = (
     "daily struct<time: array<string>, temperature_2m_max: array<double>, temperature_2m_min: array<double>, "
     "precipitation_sum: array<double>, windspeed_10m_max: array<double>, weathercode: array<double>>"
 )
+DAILY_WEATHER = (
+    "time string, temp_max_f double, temp_min_f double, precipitation_inches double, wind_speed_max_mph double, weather_code double"
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -15,6 +15,7 @@ from ..functions.calendar import period_to_month
 from ..operators.filters import lower_names, present_columns
 from ..operators.reshape import melt_with_units
 from .. import rules
+from .writers import current_version
 
 
 def weather_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +31,8 @@ def weather_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One Parquet table below a folder, with lower-case column names."""
-    return lower_names(spark.read.parquet(f"{folder.rstrip('/')}/{name}"))
+    """One Parquet table below a folder, with lower-case column names: its newest version, or plain files of that name."""
+    return lower_names(spark.read.parquet(current_version(spark, folder, name) or f"{folder.rstrip('/')}/{name}"))
 
 
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
@@ -87,23 +88,65 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     )
 
 
-def weather_page(spark: SparkSession, path: str, city: str) -> DataFrame:
-    """A page of parallel arrays, one element per day, as rows of the raw weather table."""
-    page = spark.read.option("multiLine", True).schema(schemas.DAILY_WEATHER_PAGE).json(path)
-    days = F.arrays_zip(
-        F.col("daily.time").alias("time"),
-        F.col("daily.temperature_2m_max").alias("temp_max_f"),
-        F.col("daily.temperature_2m_min").alias("temp_min_f"),
-        F.col("daily.precipitation_sum").alias("precipitation_inches"),
-        F.col("daily.windspeed_10m_max").alias("wind_speed_max_mph"),
-        F.col("daily.weathercode").alias("weather_code"),
+# Landed files taken once: what lies there, and the pages in files not taken yet.
+def page_files(spark: SparkSession, path: str) -> DataFrame:
+    """(page, modified, length) of all files below a folder, which may be missing. Contents are not read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "page string, modified timestamp, length bigint")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("path").alias("page"), F.col("modificationTime").alias("modified"), "length")
+
+
+def page_texts(spark: SparkSession, pages: Sequence[str]) -> DataFrame:
+    """(page, request, modified, length, digest, text) of the named files. The folder of a page is its request."""
+    files = spark.read.format("binaryFile").load(list(pages))
+    return files.select(
+        F.col("path").alias("page"), F.regexp_replace("path", "/[^/]*$", "").alias("request"),
+        F.col("modificationTime").alias("modified"), "length", F.sha2("content", 256).alias("digest"),
+        F.col("content").cast("string").alias("text"),
     )
-    return page.select(F.inline(days)).select(
-        F.to_date("time").alias("date"), F.lit(city).alias("city"), "temp_max_f", "temp_min_f",
+
+
+def api_page(text: str, record: str) -> Column:
+    """Announced total and records of a page in the column ``text``; no records where it is no such page."""
+    kind = f"response struct<total: string, data: array<struct<{_fields(record)}>>>"
+    page = F.from_json(text, kind)["response"]
+    return F.struct(page["total"].try_cast("long").alias("total"), page["data"].alias("data"))
+
+
+def _fields(record: str) -> str:
+    return ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in StructType.fromDDL(record))
+
+
+def _day_columns(daily: Column) -> Column:
+    return F.arrays_zip(
+        daily["time"].alias("time"), daily["temperature_2m_max"].alias("temp_max_f"), daily["temperature_2m_min"].alias("temp_min_f"),
+        daily["precipitation_sum"].alias("precipitation_inches"), daily["windspeed_10m_max"].alias("wind_speed_max_mph"),
+        daily["weathercode"].alias("weather_code"),
+    )
+
+
+def daily_page(text: str, record: str = schemas.DAILY_WEATHER) -> Column:
+    """Days of a page of parallel arrays, one element per day; it announces as many as it has times."""
+    daily = F.from_json(text, schemas.DAILY_WEATHER_PAGE)["daily"]
+    return F.struct(F.size(daily["time"]).cast("long").alias("total"), _day_columns(daily).cast(f"array<struct<{_fields(record)}>>").alias("data"))
+
+
+def weather_days(days: DataFrame, city: Column) -> DataFrame:
+    """Days as rows of the raw weather table."""
+    return days.select(
+        F.to_date("time").alias("date"), city.alias("city"), "temp_max_f", "temp_min_f",
         "precipitation_inches", "wind_speed_max_mph", "weather_code",
     )
 
 
+def weather_page(spark: SparkSession, path: str, city: str) -> DataFrame:
+    """A page of parallel arrays, one element per day, as rows of the raw weather table."""
+    page = spark.read.option("multiLine", True).schema(schemas.DAILY_WEATHER_PAGE).json(path)
+    return weather_days(page.select(F.inline(_day_columns(F.col("daily")))), F.lit(city))
+
+
 # Records to raw tables.
 def hourly_demand(records: DataFrame) -> DataFrame:
     """Timestamp and demand of each hour; text that is no number becomes NULL."""

@@ -47,7 +47,7 @@ def raw_folder(spark, tmp_path_factory):
 def built(spark, raw_folder, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("marts"))
     assert len(refresh.refresh(spark, raw_folder, folder)) == 12
-    return lambda name: spark.read.parquet(f"{folder}/{name}")
+    return lambda name: readers.table(spark, folder, name)
 
 
 def test_weather_and_summary(built):
@@ -181,11 +181,66 @@ def test_from_landed_pages_to_tested_marts(spark, raw_folder, tmp_path):
     ingest.build_network(nodes.drop("degree_centrality", "betweenness_centrality"), edges, str(raw))
     report = ingest.refresh_checked(spark, str(raw), str(built))
     assert report.count() == sum(map(len, contracts.MART_TESTS.values()))
-    demand = spark.read.parquet(f"{built}/mart_eia_weather").first()
+    demand = readers.table(spark, str(built), "mart_eia_weather").first()
     assert (demand["total_demand_mwh"], demand["peak_demand_mwh"], demand["load_tier"]) == (15003.0, 5002.0, "Moderate Load")
-    ranked = spark.read.parquet(f"{built}/raw_spark_city_summary").collect()
+    ranked = readers.table(spark, str(built), "raw_spark_city_summary").collect()
     assert {r["city_name"] for r in ranked} == {"Denver", "Fort_Collins"}
     land("demand", "2.json", [{"period": "2026-06-21T05", "value": "x"}], "4")
     ingest.ingest(spark, str(tmp_path / "landed"), str(raw), ingest.SOURCES[:1])
     with pytest.raises(ValueError, match="not_null of mart_eia_weather.total_demand_mwh"):
         ingest.refresh_checked(spark, str(raw), str(built))
+    still = readers.table(spark, str(built), "mart_eia_weather")  # nothing was published
+    assert still.count() == 1 and still.first()["created_at"] == demand["created_at"]
+
+
+def test_each_landed_record_counts_once(spark, tmp_path):
+    """A page landed twice, a rerun, a late page and a corrected page; totals stay those of the records."""
+    landed, raw = tmp_path / "landed", tmp_path / "raw"
+
+    def land(folder, name, rows, total):
+        (landed / folder).mkdir(parents=True, exist_ok=True)
+        (landed / folder / name).write_text(json.dumps({"response": {"total": total, "data": rows}}))
+
+    hour = lambda h, v=1000: {"period": f"2026-06-20T{h:02d}", "value": str(v)}
+    run = lambda **k: {r["table_name"]: (r["fetched"], r["announced"], r["complete"]) for r in ingest.ingest(spark, str(landed), str(raw), ingest.SOURCES[:1], **k)[0].collect()}
+    day = lambda: [(r["total_demand_mwh"], r["hours_reported"]) for r in readers.table(spark, str(raw), "raw_eia_demand").collect()]
+    land("demand", "1.json", [hour(0), hour(1)], "4")
+    land("demand", "1-again.json", [hour(0), hour(1)], "4")
+    assert run() == {"raw_eia_demand": (2, 4, False)} and not (raw / "raw_eia_demand.versions").exists()
+    assert run(publish_incomplete=True) == {"raw_eia_demand": (2, 4, False)} and day() == [(2000.0, 2)]
+    land("demand", "2.json", [hour(1), hour(2), hour(3)], "4")  # late, and it repeats an hour
+    for _ in range(2):
+        assert run() == {"raw_eia_demand": (4, 4, True)} and day() == [(4000.0, 4)]
+    taken = spark.read.parquet(f"{raw}/_taken/raw_eia_demand/pages")
+    assert taken.count() == 3
+    land("demand", "2.json", [hour(2), hour(3, 5000)], "4")  # the page is corrected
+    assert run() == {"raw_eia_demand": (4, 4, True)} and day() == [(8000.0, 4)]
+    (landed / "demand" / "2.json").write_text("{ broken")
+    complete, bad = ingest.ingest(spark, str(landed), str(raw), ingest.SOURCES[:1])
+    assert [(r["fetched"], r["complete"]) for r in complete.collect()] == [(2, False)] and day() == [(8000.0, 4)]
+    assert [r["_corrupt_record"] for r in bad.collect()] == ["{ broken"]
+
+
+def test_fallback_and_weather_pages(spark, tmp_path):
+    landed, raw = tmp_path / "landed", tmp_path / "raw"
+    sales, weather = ingest.SOURCES[2:]
+    sale = lambda state, sector: {"period": "2026-01", "stateid": state, "sectorid": sector, "sectorName": sector, "typeName": sector, "sales": "2"}
+    for folder, data in (("sales", []), ("sales_fallback", [sale("CO", "RES"), sale("CO", "COM")])):
+        (landed / folder).mkdir(parents=True)
+        (landed / folder / "1.json").write_text(json.dumps({"response": {"total": len(data), "data": data}}))
+    days = {"time": ["2026-06-20", "2026-06-21"], "temperature_2m_max": [90.0, None], "temperature_2m_min": [60.0, 55.0],
+            "precipitation_sum": [0.0, 0.1], "windspeed_10m_max": [10.0, 12.0], "weathercode": [1, 2]}
+    for city in ("Denver", "Pueblo"):
+        (landed / "weather" / city).mkdir(parents=True)
+        (landed / "weather" / city / "1.json").write_text(json.dumps({"daily": days}))
+    complete, _ = ingest.ingest(spark, str(landed), str(raw), (sales, weather))
+    assert {tuple(r)[:4] for r in complete.collect()} == {("raw_eia_supply_disposition", 2, 2, True), ("raw_weather", 4, 4, True)}
+    assert {r["sector"] for r in readers.table(spark, str(raw), "raw_eia_supply_disposition").collect()} == {"RES", "COM"}
+    rows = readers.table(spark, str(raw), "raw_weather").drop("created_at")
+    assert sorted(map(tuple, rows.collect()), key=str)[0] == (DAY, "Denver", 90.0, 60.0, 0.0, 10.0, 1.0)
+    assert staging.weather_days(rows).count() == 4
+    (landed / "sales" / "2.json").write_text(json.dumps({"response": {"total": 1, "data": [sale("CO", "IND")]}}))
+    ingest.ingest(spark, str(landed), str(raw), (sales,))
+    assert {r["sector"] for r in readers.table(spark, str(raw), "raw_eia_supply_disposition").collect()} == {"IND"}
+    with pytest.raises(ValueError, match="no page of demand"):
+        ingest.ingest(spark, str(landed), str(raw), ingest.SOURCES[:1])

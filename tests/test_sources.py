@@ -1,6 +1,7 @@
 """Landed files in, finished tables out."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,12 +125,12 @@ def test_sales_null_sector_is_dropped(spark):
 def test_writers(spark, tmp_path):
     df = readers.literal_table(spark, [(2024, 1, "a"), (2024, 2, "b")], "year int, month_num int, NAME string")
     writers.replace_files(df, str(tmp_path), "t", ("year", "month_num"))
-    writers.replace_files(df.filter("month_num = 2"), str(tmp_path), "t", ("year", "month_num"))
+    path = writers.replace_files(df.filter("month_num = 2"), str(tmp_path), "t", ("year", "month_num"))
     assert [r["name"] for r in readers.table(spark, str(tmp_path), "t").collect()] == ["b"]
-    assert (tmp_path / "t" / "year=2024" / "month_num=2").is_dir()
+    assert os.path.isdir(f"{path}/year=2024/month_num=2") and path == writers.current_version(spark, str(tmp_path), "t")
     writers.write_csv(df, f"{tmp_path}/csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").columns == ["year", "month_num", "NAME"]
-    writers.replace_table(df, "opsmart_written")
+    writers.replace_table(df, "opsmart_written", str(tmp_path))
     assert readers.catalog_table(spark, "opsmart_written").columns == ["year", "month_num", "name"]
     writers.replace_view(df, "opsmart_view")
     assert spark.sql("SELECT count(*) AS n FROM opsmart_view").first()["n"] == 2
@@ -147,6 +148,46 @@ def test_interrupted_write_leaves_the_old_version(spark, tmp_path):
     writers.replace_files(df.filter("a = 2"), str(tmp_path), "t")  # the same folder is read and replaced
     writers.replace_files(readers.table(spark, str(tmp_path), "t"), str(tmp_path), "t")
     assert [r["a"] for r in readers.table(spark, str(tmp_path), "t").collect()] == [2]
-    writers.replace_table(df, "opsmart_twice")
-    writers.replace_table(df.filter("a = 1"), "opsmart_twice")
-    assert readers.catalog_table(spark, "opsmart_twice").count() == 1
+    writers.replace_table(df, "opsmart_twice", str(tmp_path))
+    open_before = readers.catalog_table(spark, "opsmart_twice")
+    writers.replace_table(df.filter("a = 1").withColumn("b", F.lit("x")), "opsmart_twice", str(tmp_path))
+    after = readers.catalog_table(spark, "opsmart_twice")
+    assert after.count() == 1 and after.columns == ["a", "b"] and open_before.count() == 2
+
+
+def test_versions_are_published_at_once_and_removed_by_age(spark, tmp_path):
+    folder = str(tmp_path)
+    df = readers.literal_table(spark, [(1,), (2,)], "a int")
+    assert writers.current_version(spark, folder, "t") is None
+    first = writers.replace_files(df, folder, "t")
+    reader = readers.table(spark, folder, "t")
+    unpublished = writers.write_version(df.filter("a = 2"), folder, "t")
+    assert writers.current_version(spark, folder, "t") == first
+    writers.publish(spark, unpublished)
+    assert writers.current_version(spark, folder, "t") == unpublished and reader.count() == 2
+    with pytest.raises(ValueError, match="published already"):
+        writers.publish(spark, unpublished)
+    left = writers.write_version(df, folder, "t")  # a run that stopped here
+    assert writers.remove_old_versions(spark, folder, "t") == []
+    assert len(writers.remove_old_versions(spark, folder, "t", hours=-1)) == 2
+    assert not os.path.exists(first) and not os.path.exists(left) and readers.table(spark, folder, "t").count() == 1
+    assert writers.remove_old_versions(spark, folder, "t", hours=-1) == []
+
+
+def test_failing_steps_never_lose_the_last_version(spark, tmp_path, monkeypatch):
+    """Whatever step fails, readers find the version before or the new one."""
+    folder, df = str(tmp_path), readers.literal_table(spark, [(1,), (2,)], "a int")
+    writers.replace_files(df, folder, "t")
+    for step in ("write_version", "publish", "remove_old_versions"):
+        with monkeypatch.context() as broken:
+            real = getattr(writers, step)
+
+            def fail(*a, real=real, late=step == "remove_old_versions", **k):
+                if late:
+                    real(*a, **k)
+                raise OSError("stop")
+
+            broken.setattr(writers, step, fail)
+            with pytest.raises(OSError):
+                writers.replace_files(df.filter("a = 1"), folder, "t")
+        assert readers.table(spark, folder, "t").count() == (1 if step == "remove_old_versions" else 2)
