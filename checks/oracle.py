@@ -568,7 +568,8 @@ ORACLE: dict[str, str] = {
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '2001-08-01' - 90 AND DATE '2001-08-01' - 5
         AND o_orderstatus IN ('F', 'O') AND o_orderpriority <> '3-MEDIUM'""",
     "q40_json_records": "SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events",
-    "q41_concat_sources": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')",
+    "q41_concat_sources": """SELECT 'supplier' AS kind, s_suppkey AS key, s_acctbal AS amount FROM supplier
+        UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer UNION ALL SELECT 'part', p_partkey, p_retailprice FROM part""",
     "q42_label_join": """SELECT c_custkey, CASE WHEN n_regionkey <> 4 THEN n_name ELSE CAST(c_nationkey AS VARCHAR) END AS nation_label,
         CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS segment_text FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "q43_sales_melt": sql(["wide", "long"], "SELECT * FROM long"),
@@ -596,4 +597,24 @@ ORACLE: dict[str, str] = {
         f"""SELECT city_name, {counted('operational_stress_score >= 7')} AS high_stress_days, {counted("ops_risk_label = 'Monitor'")} AS monitor_days,
         {mean('labor_cost_per_outage')} AS avg_labor_cost_per_outage FROM daily GROUP BY city_name""",
     ),
+    "q54_landed_demand": sql(DEMAND, "SELECT * FROM dem"),
+    "q55_page_report": """SELECT 'raw_eia_demand' AS table_name, count(*) AS fetched, count(*) AS announced, true AS complete,
+        CAST(1 AS BIGINT) AS bad_pages FROM events""",
+    "q56_weather_csv": sql(WEATHER[:4], "SELECT * FROM days"),
+    "q57_weather_pages": sql(WEATHER[:4], "SELECT * FROM days"),
+    "q58_landed_generators": sql(["gen", "fleet"], "SELECT * FROM fleet"),
+    "q59_published_export": sql(
+        [*DAILY, "city", "ranked"],
+        """SELECT city_name, CAST(stress_rank AS INTEGER) AS stress_rank, risk_label, avg_stress_score, avg_daily_outages,
+        CAST(total_outages AS DOUBLE) AS total_outages, CAST(total_customer_minutes_lost AS DOUBLE) AS total_customer_min_lost,
+        avg_crews_per_day, total_labor_cost, avg_temperature_f, avg_heating_degree_days, avg_cooling_degree_days,
+        CASE stress_rank WHEN 1 THEN 'first' WHEN 2 THEN 'second' ELSE 'later' END AS place FROM ranked""",
+    ),
+    "q60_is_connected": sql(
+        ["ship", "ship_arc", "ship_node", "home", "node", "edge", "arc"],
+        """SELECT 'shipments' AS network, count(DISTINCT low) AS islands, count(DISTINCT low) = 1 AS connected FROM label
+        UNION ALL SELECT 'grid', count(DISTINCT piece), count(DISTINCT piece) = 1 FROM
+        (SELECT coalesce(min(v), any_value(node_id)) AS piece FROM node LEFT JOIN dist ON v = node_id GROUP BY v IS NULL, CASE WHEN v IS NULL THEN node_id END)""",
+        labels_from("ship_node", "ship_arc") + ", " + distances_from("SELECT 'S0', 'S0', CAST(0 AS BIGINT)", "arc"),
+    ),
 }

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmart import rules, session
+from opsmart import rules, schemas, session
 from opsmart.functions import calendar, field, weather as weather_functions
 from opsmart.functions.core import count_if, exact_avg, exact_sum, text_or_empty, to_number
 from opsmart.operators import filters, graph, joins, ordered, reshape, rollups
 from opsmart.operators.betweenness import scored_nodes
-from opsmart.plans import contracts, marts, measures, staging, summaries
+from opsmart.plans import contracts, ingest, marts, measures, staging, summaries
 from opsmart.session import materialize
-from opsmart.sources import readers
+from opsmart.sources import readers, writers
 
 from . import raw_frames as raw
 
@@ -358,11 +360,14 @@ def json_records(s, d):
 
 
 def concat_sources(s, d):
-    """Status slices put together again; the empty first source falls back to the second."""
-    orders = raw.read(s, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    slices = [orders.filter(F.col("o_orderstatus") == status) for status in ("F", "O", "P")]
-    empty = orders.filter(F.col("o_orderstatus") == "none")
-    return filters.first_non_empty(empty, reshape.stack_by_name(slices))
+    """Accounts of suppliers and customers, and orders from a source without any: lines stand in where no order is large."""
+    accounts = reshape.stack_by_name([
+        raw.read(s, d, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("amount")),
+        raw.read(s, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount")),
+    ])
+    orders = raw.read(s, d, "orders").filter("o_totalprice < 0").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount"))
+    parts = raw.read(s, d, "part").select(F.lit("part").alias("kind"), F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("amount"))
+    return reshape.stack_by_name([filters.first_non_empty(accounts, parts), filters.first_non_empty(orders, parts)])
 
 
 def label_join(s, d):
@@ -390,6 +395,111 @@ def count_measures(s, d):
     )
 
 
+PAGE_RECORDS = 5000
+
+
+def _land(records: DataFrame, number: str, folder: str) -> None:
+    """Write records as API pages, one file each; the first page is landed twice, and one page is broken."""
+    spark, slot = records.sparkSession, F.floor(F.col(number).cast("bigint") / PAGE_RECORDS)
+    pages = records.groupBy(slot.alias("page")).agg(F.collect_list(F.struct(*records.columns)).alias("data"))
+    total = records.agg(F.count("*")).scalar().cast("string")
+    pages = materialize(pages.select("page", F.struct(total.alias("total"), "data").alias("response")))
+    first = pages.agg(F.min("page")).scalar()
+    for each in (pages, pages.filter(F.col("page") == first)):
+        each.select("response").write.mode("append").option("maxRecordsPerFile", 1).json(folder)
+    spark.createDataFrame([("no page {",)], "value string").write.mode("append").text(folder)
+
+
+def _landed_events(s, d):
+    """Events landed and ingested; the raw folder, completeness and bad pages."""
+    landed, kept = session.scratch_path(s), session.scratch_path(s)
+    hours = raw.read(s, d, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("ts").cast("string").alias("period"), (F.col("value") * 15).cast("string").alias("value")
+    )
+    _land(hours, "event_id", f"{landed}/demand")
+    source = dataclasses.replace(ingest.SOURCES[0], record=f"{schemas.DEMAND_RECORD}, event_id string", key=("event_id",))
+    return kept, *ingest.ingest(s, landed, kept, (source,))
+
+
+def landed_demand(s, d):
+    """Daily demand of events that were landed as pages."""
+    kept, _, _ = _landed_events(s, d)
+    return staging.demand(readers.table(s, kept, "raw_eia_demand").drop("created_at"))
+
+
+def page_report(s, d):
+    """Records found and announced, and pages without records."""
+    _, complete, bad = _landed_events(s, d)
+    return complete.withColumn("bad_pages", bad.agg(F.count("*")).scalar())
+
+
+def landed_generators(s, d):
+    """Generators landed as pages, their columns found by name."""
+    landed, kept = session.scratch_path(s), session.scratch_path(s)
+    made = raw.generators(s, d)
+    text = lambda source, name: F.col(source).cast("string").alias(name)
+    records = made.select(
+        F.date_format("period", "yyyy-MM").alias("period"), text("state", "stateid"), text("plant_name", "plantName"),
+        text("generator_id", "generatorid"), "energy_source_code", "technology",
+        text("net_summer_capacity_mw", "net-summer-capacity-mw"), text("nameplate_capacity_mw", "nameplate-capacity-mw"),
+    )
+    _land(records, "generatorid", f"{landed}/generators")
+    ingest.ingest(s, landed, kept, ingest.SOURCES[1:2])
+    return staging.generators(readers.table(s, kept, "raw_eia_generators").drop("created_at", "latitude", "longitude"))
+
+
+def weather_csv(s, d):
+    """Weather written and read as CSV files."""
+    path = session.scratch_path(s)
+    writers.write_csv(raw.weather(s, d), path)
+    return staging.weather_days(readers.weather_csv(s, path))
+
+
+def weather_pages(s, d):
+    """Weather landed as pages of parallel arrays, one per city and year."""
+    landed, kept = session.scratch_path(s), session.scratch_path(s)
+    pages = raw.weather(s, d).groupBy("city", F.year("date").alias("year")).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("date").cast("string").alias("time"), "temp_max_f", "temp_min_f", "precipitation_inches", "wind_speed_max_mph", "weather_code"
+    ))).alias("days"))
+    names = {
+        "time": "time", "temp_max_f": "temperature_2m_max", "temp_min_f": "temperature_2m_min",
+        "precipitation_inches": "precipitation_sum", "wind_speed_max_mph": "windspeed_10m_max", "weather_code": "weathercode",
+    }
+    page = F.struct(*(F.col(f"days.{a}").alias(b) for a, b in names.items())).alias("daily")
+    pages.select("city", page).write.partitionBy("city").option("maxRecordsPerFile", 1).json(f"{landed}/weather")
+    city = F.regexp_extract("request", "city=([^/]*)$", 1)
+    source = dataclasses.replace(ingest.SOURCES[3], build=lambda days: readers.weather_days(days, city))
+    ingest.ingest(s, landed, kept, (source,))
+    return staging.weather_days(readers.table(s, kept, "raw_weather").drop("created_at"))
+
+
+def published_export(s, d):
+    """The typed city summary through a versioned table, a table of the catalog and a view, with a fixed label per city size."""
+    folder, name = session.scratch_path(s), f"published_{uuid.uuid4().hex}"
+    ranked = writers.city_summary_export(summaries.ranked_cities(_daily(s, d)))
+    upper = ranked.toDF(*(c.upper() for c in ranked.columns))
+    writers.replace_files(writers.stamped(upper), folder, "summary")
+    writers.replace_files(writers.stamped(readers.table(s, folder, "summary").drop("created_at")), folder, "summary", ["risk_label"])
+    writers.replace_table(readers.table(s, folder, "summary"), name, folder)
+    writers.replace_view(readers.catalog_table(s, name), f"{name}_view")
+    published = s.table(f"{name}_view").drop("created_at")
+    s.sql(f"DROP VIEW {name}")
+    labels = readers.literal_table(s, [(1, "first"), (2, "second")], "stress_rank int, place string")
+    return published.join(labels, "stress_rank", "left").withColumn("place", F.coalesce("place", F.lit("later")))
+
+
+def is_connected(s, d):
+    """Whether the shipments and the grid are networks of one piece."""
+    found = []
+    for name, network in (("shipments", raw.shipment_network), ("grid", raw.grid_network)):
+        nodes, edges = network(s, d)
+        parts = materialize(graph.connected_components(edges, nodes).select("component"))
+        found.append(parts.agg(F.count_distinct("component").alias("islands")).select(
+            F.lit(name).alias("network"), "islands", F.lit(graph.is_connected(parts)).alias("connected")
+        ))
+    return reshape.stack_by_name(found)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_ops_summary_ranked": ops_summary_ranked,
     "q02_ops_summary_daily": ops_summary_daily,
@@ -444,4 +554,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q51_spend_normalised": spend_normalised,
     "q52_weather_staging": weather_staging,
     "q53_city_counts": count_measures,
+    "q54_landed_demand": landed_demand,
+    "q55_page_report": page_report,
+    "q56_weather_csv": weather_csv,
+    "q57_weather_pages": weather_pages,
+    "q58_landed_generators": landed_generators,
+    "q59_published_export": published_export,
+    "q60_is_connected": is_connected,
 }

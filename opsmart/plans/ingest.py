@@ -35,6 +35,7 @@ class Source:
     build: Callable[[DataFrame], DataFrame]
     fallback: str | None = None
     page: Callable[[str, str], Column] = readers.api_page
+    announced: bool = True  # pages name the number of their request's records
 
 
 def _demand(records: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ SOURCES = (
         "sales", schemas.SALES_RECORD, ("period", "stateid", "sectorid", "sector"), "raw_eia_supply_disposition",
         readers.retail_sales, fallback="sales_fallback",
     ),
-    Source("weather", schemas.DAILY_WEATHER, ("time",), "raw_weather", _weather, page=readers.daily_page),
+    Source("weather", schemas.DAILY_WEATHER, ("time",), "raw_weather", _weather, page=readers.daily_page, announced=False),
 )
 
 
@@ -127,13 +128,16 @@ def current_records(spark: SparkSession, raw_folder: str, source: Source) -> Dat
     return once.select("origin", "request", "r.*")
 
 
-def _completeness(pages: DataFrame, records: DataFrame) -> DataFrame:
-    """Records of each request against the total that it announces, one row, for the requests that the table is made of."""
+def _completeness(pages: DataFrame, records: DataFrame, announced: bool) -> DataFrame:
+    """Records of each request against the total that it announces, one row, for the requests that the table is made of.
+
+    Where requests announce nothing, a request with records is complete.
+    """
     used = records.select("origin").distinct()
     requests = pages.join(used, "origin", "left_semi").groupBy("request").agg(F.max("total").alias("announced"))
     found = records.groupBy("request").agg(F.count("*").alias("found"))
     each = requests.join(found, "request", "left").withColumn("found", F.coalesce("found", F.lit(0)))
-    same = F.coalesce(F.col("found") == F.col("announced"), F.lit(False))
+    same = F.coalesce(F.col("found") == F.col("announced"), F.lit(False)) if announced else F.col("found") > 0
     return each.agg(
         F.coalesce(F.sum("found"), F.lit(0)).alias("fetched"), F.sum("announced").alias("announced"),
         F.coalesce(F.bool_and(same), F.lit(False)).alias("complete"),
@@ -160,7 +164,7 @@ def ingest(
         first = records.filter(F.col("origin") == source.folder)
         second = records.filter(F.col("origin") == F.lit(source.fallback))
         chosen = materialize(first_non_empty(first, second) if source.fallback else first)
-        state = materialize(_completeness(pages, chosen))
+        state = materialize(_completeness(pages, chosen, source.announced))
         if publish_incomplete or state.first()["complete"]:
             writers.replace_files(writers.stamped(source.build(chosen.drop("origin"))), raw_folder, source.table)
         name = F.lit(source.table).alias("table_name")

@@ -128,9 +128,9 @@ def _day_columns(daily: Column) -> Column:
 
 
 def daily_page(text: str, record: str = schemas.DAILY_WEATHER) -> Column:
-    """Days of a page of parallel arrays, one element per day; it announces as many as it has times."""
+    """Days of a page of parallel arrays, one element per day. Such a page announces no total."""
     daily = F.from_json(text, schemas.DAILY_WEATHER_PAGE)["daily"]
-    return F.struct(F.size(daily["time"]).cast("long").alias("total"), _day_columns(daily).cast(f"array<struct<{_fields(record)}>>").alias("data"))
+    return F.struct(F.lit(None).cast("long").alias("total"), _day_columns(daily).cast(f"array<struct<{_fields(record)}>>").alias("data"))
 
 
 def weather_days(days: DataFrame, city: Column) -> DataFrame:

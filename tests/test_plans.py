@@ -234,7 +234,7 @@ def test_fallback_and_weather_pages(spark, tmp_path):
         (landed / "weather" / city).mkdir(parents=True)
         (landed / "weather" / city / "1.json").write_text(json.dumps({"daily": days}))
     complete, _ = ingest.ingest(spark, str(landed), str(raw), (sales, weather))
-    assert {tuple(r)[:4] for r in complete.collect()} == {("raw_eia_supply_disposition", 2, 2, True), ("raw_weather", 4, 4, True)}
+    assert {tuple(r)[:4] for r in complete.collect()} == {("raw_eia_supply_disposition", 2, 2, True), ("raw_weather", 4, None, True)}
     assert {r["sector"] for r in readers.table(spark, str(raw), "raw_eia_supply_disposition").collect()} == {"RES", "COM"}
     rows = readers.table(spark, str(raw), "raw_weather").drop("created_at")
     assert sorted(map(tuple, rows.collect()), key=str)[0] == (DAY, "Denver", 90.0, 60.0, 0.0, 10.0, 1.0)
