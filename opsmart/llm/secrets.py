@@ -27,28 +27,34 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """A class of characters; windows of ``size`` of them are reported from ``bits`` per character on."""
+    """A class of characters; windows of ``size`` of them are reported from ``bits`` per character on.
+
+    Each alphabet has its own bound, which random strings of that size reach and words joined to one do not. What is
+    reported must hold a match of every pattern in ``needs``, since words rarely mix digits and both cases.
+    """
 
     kind: str
     run: str
     size: int
     bits: float
+    needs: tuple[str, ...] = ("[0-9]", "[A-Za-z]")
 
 
 CLASSES = (
     CharacterClass("entropy_hex", r"[0-9a-f]{20,}|[0-9A-F]{20,}", 20, 3.1),
-    CharacterClass("entropy_mixed", r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0),
+    CharacterClass("entropy_mixed", r"[A-Za-z0-9+/_=-]{20,}", 20, 3.6, ("[0-9]", "[A-Z]", "[a-z]")),
+    CharacterClass("entropy_base36", r"[0-9a-z]{20,}|[0-9A-Z]{20,}", 20, 3.4, ("[0-9].*[0-9]", "[A-Za-z].*[A-Za-z]")),
+    CharacterClass("entropy_base32", r"[2-7A-Z]{20,}|[2-7a-z]{20,}", 20, 3.4),
 )
 
-#: Candidates that are no secrets: without a digit or without a letter, UUIDs, dates and times, published
-#: sample keys, and file or address paths of plain words.
+#: Parts of candidates that are no secrets: UUIDs, dates and times, sample words and sample runs, a published sample
+#: key, and whole candidates that are paths of plain words. What lies around such a part is still searched.
 ALLOWED = (
-    r"[^0-9]+",
-    r"[^A-Za-z]+",
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T_-][0-9A-Z_-]+",
-    r".*(EXAMPLE|example|0123456789|abcdefghij|XXXXXXXX|xxxxxxxx).*",
-    r"/?([a-z0-9_-]{1,15}/)+[a-z0-9_-]{0,15}",
+    r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])",
+    r"(?<![0-9A-Za-z])[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T_-][0-9A-Z_-]+)?(?![0-9A-Za-z])",
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+    r"EXAMPLE|example|0123456789|abcdefghij|[Xx]{8,}",
+    r"\A/?(?:[a-z0-9_-]{1,15}/)+[a-z0-9_-]{0,15}\Z",
 )
 
 
@@ -94,26 +100,38 @@ class Scanner:
     """Finds spans in one text. Made once per task."""
 
     def __init__(self, classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED):
-        self.classes = [(c, re.compile(c.run)) for c in classes]
-        self.allowed = re.compile("|".join(f"(?:{p})" for p in allowed), re.DOTALL) if allowed else None
+        self.classes = [(c, re.compile(c.run), [re.compile(n) for n in c.needs]) for c in classes]
+        self.allowed = re.compile("|".join(f"(?:{p})" for p in allowed)) if allowed else None
         self.rank = {k: i for i, k in enumerate((*BASE_KINDS, *(c.kind for c in classes)))}
 
     def __call__(self, text: str) -> list[tuple[int, int, str]]:
         spans = pattern_spans(text)
         base = list(spans)
         for candidate in CANDIDATE.finditer(text):
-            if self.allowed and self.allowed.fullmatch(candidate[0]):
-                continue
-            for kind, run in self.classes:
-                for part in run.finditer(candidate[0]):
-                    at = candidate.start() + part.start()
-                    for start, end in high_entropy(part[0], kind.size, kind.bits):
-                        if not any(s <= at + start and at + end <= e for s, e, _ in base):
-                            spans.append((at + start, at + end, kind.kind))
-                            base.append(spans[-1])
+            for begin, end_ in self._searched(candidate[0]):
+                piece, offset = candidate[0][begin:end_], candidate.start() + begin
+                for kind, run, needs in self.classes:
+                    for part in run.finditer(piece):
+                        at = offset + part.start()
+                        for start, end in high_entropy(part[0], kind.size, kind.bits):
+                            found = part[0][start:end]
+                            if not all(n.search(found) for n in needs):
+                                continue
+                            if not any(s <= at + start and at + end <= e for s, e, _ in base):
+                                spans.append((at + start, at + end, kind.kind))
+                                base.append(spans[-1])
         return sorted(spans, key=lambda s: (s[0], self.rank[s[2]], s[1]))
 
 
+    def _searched(self, run: str) -> list[tuple[int, int]]:
+        """The parts of a candidate that the allow-list leaves, of 20 and more characters."""
+        parts, at = [], 0
+        for m in self.allowed.finditer(run) if self.allowed else ():
+            parts.append((at, m.start()))
+            at = m.end()
+        return [(a, b) for a, b in (*parts, (at, len(run))) if b - a >= 20]
+
+
 def secret_spans(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -126,7 +144,8 @@ def secret_spans(
     Three patterns (assignments to a password-like name, access keys, long hexadecimal runs), then
     strings of 20 or more key characters: within them every window of a character class whose
     Shannon entropy reaches the class's bound is reported, joined with windows it touches. Windows
-    inside a span found before add nothing; candidates on the allow-list are skipped, pattern matches never.
+    inside a span found before add nothing; parts on the allow-list are cut out first, of pattern matches never. Strings
+    of letters alone are not reported, nor are shorter ones than 20 characters.
 
     One row per input row, so repeated rows stay repeated. A null or empty text has no spans, a null id
     stays null, an empty table gives an empty one, and other columns are not read. Memory: one text.

@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -39,6 +41,27 @@ def test_patterns_are_leftmost_and_checked_after_matching():
     assert spans("0" * 31 + "g" + "f" * 32) == [(32, 64, "hex")]
 
 
+def test_random_keys_of_every_alphabet_are_found():
+    rng, scan = random.Random(3), secrets.Scanner()
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for alphabet in (lower + upper + digits, lower + digits, upper + digits, upper + "234567", lower + "234567"):
+        for size in (20, 22, 24, 32):
+            for before in ("key ", "example_", "0123456789", "a-b/example/"):
+                keys = ["".join(rng.choices(alphabet, k=size)) for _ in range(150)]
+                found = sum(any(e - s >= size * 0.8 for s, e, _ in scan(f"{before}{k} end")) for k in keys)
+                assert found >= 0.9 * len(keys), (alphabet, size, before, found)
+
+
+def test_joined_words_and_sample_keys_are_no_secrets():
+    scan = secrets.Scanner()
+    for text in (
+        "section_4_paragraph_12_of_the_act_of_1984", "some/path/to/a/file_2024_final_version", "iso-8859-1-and-utf-8-encodings-of-text",
+        "2024-01-31T10-20-30Z_2024-02-01", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "01234567890123456789abcdefghij0123456789",
+        "123e4567-e89b-12d3-a456-426614174000_example", "aaaaaaaaaaaaaaaaaaaaaaaaa1", "x" * 40 + "1",
+    ):
+        assert scan(f"see {text} here") == [], text
+
+
 def test_spans_added_by_entropy_and_allow_list():
     scan = secrets.Scanner()
     key = "Zx9Kq2LmN8pR4tVw7YbC3dFgH6jQsT1u"
