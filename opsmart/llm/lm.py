@@ -21,13 +21,14 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """``head_words`` and ``block_bytes`` bound what a task and the driver hold at once."""
+    """``head_words`` and ``block_bytes`` bound what a task and the driver hold at once, ``score_bytes`` the texts that wait for a block."""
 
     head_words: int = 1 << 18
     block_bytes: int = 48 << 20
     shard_tokens: int = 1 << 17
     flush_tokens: int = 1_000_000
     bits_per_entry: int = 12
+    score_bytes: int = 8 << 20
     probes: int = 6
     weight: float = 30.0
 
@@ -224,6 +225,12 @@ def _counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return distinct.astype(np.int64), np.bincount(codes)
 
 
+def _read(block: Broadcast) -> Filters:
+    """A block of filters in a task. ``value`` would keep every block in the worker; this one goes when it is not used any more."""
+    path = getattr(block, "_path", None)
+    return block.load_from_path(path) if path else block.value
+
+
 def _block(rows: pd.DataFrame, first: int, many: int, probes: int) -> Filters:
     rows = rows.sort_values("shard")
     sizes = np.zeros(many, np.int64)
@@ -233,7 +240,7 @@ def _block(rows: pd.DataFrame, first: int, many: int, probes: int) -> Filters:
 
 
 def _scored(model: NgramModel, column: pa.Array, shards: int, head: tuple, blocks: list[Filters]) -> dict:
-    """Sums for each text of a slice, and its tokens outside the head."""
+    """Sums for each text of a slice, the probability of each token, and the tokens outside the head."""
     s = model.settings
     t = Tokens.of(column)
     code, ids = pd.factorize(np.concatenate([t.ids, t.before]))
@@ -247,19 +254,21 @@ def _scored(model: NgramModel, column: pa.Array, shards: int, head: tuple, block
     for block in blocks:
         one = np.maximum(one, block.levels(ids, shards))
         two = np.maximum(two, block.levels(pairs, shards))
-    guess = lambda level: np.where(level > 0, 2.0 ** (level - 1), 0.0)
-    single = np.where(in_head, exact, guess(one))
-    single = np.where(ids == BEGIN, model.texts, single)
-    joint, context = guess(two)[pair_code], single[before]
-    lower = (np.where(ids == BEGIN, 0, single)[code] + 1) / (model.tokens + model.distinct + 1)
-    p = (joint + s.weight * lower) / (np.maximum(context, joint) + s.weight)
+    # A level stands for the counts from ``least`` to ``most``: followers count the least, their context the most.
+    least = lambda level: np.where(level > 0, 2.0 ** (level - 1), 0.0)
+    most = lambda level: np.where(level > 0, 2.0**level - 1, 0.0)
+    context = np.where(ids == BEGIN, model.texts, np.where(in_head, exact, most(one)))[before]
+    single = np.where(ids == BEGIN, 0, np.where(in_head, exact, least(one)))[code]
+    joint = np.minimum(least(two)[pair_code], context)
+    lower = (single + 1) / (model.tokens + model.distinct + 1)
+    p = (joint + s.weight * lower) / (context + s.weight)
     add = lambda x: np.bincount(t.owner, weights=x, minlength=t.n_texts)
     known = in_head[code]
     tail = np.flatnonzero(~known)
     key, rare = pd.factorize(t.owner[tail].astype(np.int64) << 32 | code[tail])
     return {
         "n_tokens": np.bincount(t.owner, minlength=t.n_texts), "known": add(known).astype(np.int64),
-        "logs": add(np.where(known, np.log10(exact[code] + 1), 0)), "score": add(np.log10(p)),
+        "logs": add(np.where(known, np.log10(exact[code] + 1), 0)), "score": add(np.log10(p)), "each": p,
         "tail_owner": rare >> 32, "tail_token": ids[rare & 0xFFFFFFFF].astype(np.int64), "tail_times": np.bincount(key, minlength=len(rare)),
     }
 
@@ -270,36 +279,47 @@ def score_texts(df: DataFrame, model: NgramModel, id_col: str = "doc_id", text_c
     ``base_score``: sum over tokens of log10((c + 1) / (N + V + 1)) with exact counts. Tokens of the head
     are looked up in each task, the others are joined with the vocabulary: the head has all frequent ones, so no
     key of the join is frequent. ``score``: log10 probability of the text, each token given the one before it,
-    (f(pair) + w * p1) / (f(before) + w), with p1 the add-one probability of the token and counts f from
-    the filters, or exact ones for tokens of the head. A filter never loses an n-gram; it reports one in
-    some hundred absent ones as seen once, and counts are known to the power of two below them.
-
-    A null or empty text is the end token alone; repeated rows score alike; a null id stays null. Filters are probed
-    block by block for each batch of texts, so memory holds one block, however many there are.
+    (f(pair) + w * p1) / (f(before) + w), with p1 the add-one probability of the token. Counts are exact for tokens of
+    the head; from the filters a pair and a token count the least that their level allows and the context the most, so
+    the tokens that follow a context in training have probabilities that add up to one at most. A filter never loses an
+    n-gram; it reports one in some hundred absent ones as seen once.
+
+    A null or empty text is the end token alone; repeated rows score alike; a null id stays null. A task gathers
+    texts of some million tokens, then reads one block of filters after the other for all of them and lets it go again, so
+    its memory holds one block and those texts, however many blocks there are.
     """
     frozen = NgramModel(model.settings, None, model.tokens, model.distinct, model.texts, model.shards, None)
     head, blocks, shards = model.head, model.blocks, model.shards
+    wait = model.settings.score_bytes if len(blocks) > 1 else 0  # a single block is kept, so nothing is gained by waiting
+
+    def scored(parts: list[pa.RecordBatch], row: int) -> dict:
+        texts, of = (pa.concat_arrays([p.column(i) for p in parts]) for i in (1, 0))
+        x = _scored(frozen, texts, shards, head.value, (_read(b) if wait else b.value for b in blocks))
+        n, tail = len(of), len(x["tail_owner"])
+        ids = np.arange(n) + row
+        none, blank = pa.nulls(tail, pa.int64()), pa.nulls(n, pa.int64())
+        joined = lambda a, b, kind: pa.concat_arrays([pa.array(a, kind) if not isinstance(a, pa.Array) else a.cast(kind), b])
+        return {
+            "row": np.concatenate([ids, ids[x["tail_owner"]]]),
+            "doc_id": joined(of, none, pa.int64()),
+            "n_tokens": joined(x["n_tokens"], none, pa.int64()), "known": joined(x["known"], none, pa.int64()),
+            "logs": joined(x["logs"], pa.nulls(tail, pa.float64()), pa.float64()),
+            "score": joined(x["score"], pa.nulls(tail, pa.float64()), pa.float64()),
+            "token": pa.concat_arrays([blank, pa.array(x["tail_token"], pa.int64())]),
+            "times": pa.concat_arrays([blank, pa.array(x["tail_times"], pa.int64())]),
+        }
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        row = TaskContext.get().partitionId() << 40
+        row, held, size = TaskContext.get().partitionId() << 40, [], 0
         for batch in batches:
             for part in slices(batch, 1):
-                x = _scored(frozen, part.column(1), shards, head.value, (b.value for b in blocks))
-                n, tail = part.num_rows, len(x["tail_owner"])
-                ids = np.arange(n) + row
-                row += n
-                none = pa.nulls(tail, pa.int64())
-                blank = pa.nulls(n, pa.int64())
-                joined = lambda a, b, kind: pa.concat_arrays([pa.array(a, kind) if not isinstance(a, pa.Array) else a.cast(kind), b])
-                yield {
-                    "row": np.concatenate([ids, ids[x["tail_owner"]]]),
-                    "doc_id": joined(part.column(0), none, pa.int64()),
-                    "n_tokens": joined(x["n_tokens"], none, pa.int64()), "known": joined(x["known"], none, pa.int64()),
-                    "logs": joined(x["logs"], pa.nulls(tail, pa.float64()), pa.float64()),
-                    "score": joined(x["score"], pa.nulls(tail, pa.float64()), pa.float64()),
-                    "token": pa.concat_arrays([blank, pa.array(x["tail_token"], pa.int64())]),
-                    "times": pa.concat_arrays([blank, pa.array(x["tail_times"], pa.int64())]),
-                }
+                held.append(part)
+                size += part.column(1).nbytes
+                if size >= wait:
+                    yield scored(held, row)
+                    row, held, size = row + sum(p.num_rows for p in held), [], 0
+        if held:
+            yield scored(held, row)
 
     schema = "row long, doc_id long, n_tokens long, known long, logs double, score double, token long, times long"
     parts = materialize(arrow_map(id_and_text(df, id_col, text_col), schema, rows))

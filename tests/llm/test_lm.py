@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from made_texts import prose
 
 from opsmart.llm import lm, queries
@@ -58,6 +59,34 @@ def test_bounds_do_not_change_the_scores(spark):
         assert abs(r["score"] - a[r["doc_id"]]["score"]) < 0.2 * abs(a[r["doc_id"]]["score"])
 
 
+def test_followers_of_a_context_add_up_to_one_at_most(spark):
+    """A context with a hundred followers, some of them frequent, with exact counts and with levels."""
+    words = [f"w{i}" for i in range(100) for _ in range(1 + i % 7)]
+    df = spark.createDataFrame([(i, f"ctx {w}") for i, w in enumerate(words)], "doc_id long, text string")
+    for settings in (lm.Settings(head_words=0), lm.Settings()):
+        model = lm.fit_ngrams(df, settings)
+        different = pa.array([f"ctx w{i}" for i in range(100)])
+        found = lm._scored(model, different, model.shards, model.head.value, [b.value for b in model.blocks])
+        each = found["each"].reshape(100, 3)  # the context, its follower, the end
+        assert 0.5 < each[:, 1].sum() <= 1 and (each > 0).all() and (each <= 1).all()
+        assert np.allclose(np.log10(each).sum(axis=1), found["score"])
+
+
+def test_a_worker_lets_go_of_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, prose(i % 7, 150)) for i in range(40)], "doc_id long, text string")
+    model = lm.fit_ngrams(df, lm.Settings(block_bytes=400, shard_tokens=300, score_bytes=2000))
+
+    def held(batches):
+        from pyspark.core.broadcast import _broadcastRegistry
+
+        for batch in batches:
+            kept = [b for b in _broadcastRegistry.values() if isinstance(getattr(b, "_value", None), lm.Filters)]
+            yield pa.record_batch({"n": pa.array([len(kept)] * batch.num_rows, pa.int64())})
+
+    assert len(model.blocks) > 3
+    assert lm.score_texts(df, model).select("score").mapInArrow(held, "n long").groupBy().max("n").first()[0] == 0
+
+
 def test_odd_rows(odd_documents, no_documents):
     scored = lm.score_texts(odd_documents, lm.fit_ngrams(odd_documents))
     assert scored.count() == 12 and scored.filter("score <= 0 AND base_score < 0").count() == 12
