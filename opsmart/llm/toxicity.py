@@ -202,7 +202,7 @@ def fit_toxicity(
                 pick = np.flatnonzero((y[owner] == 0) & (np.arange(len(owner)) % every == 0))
                 found = [(1, data[words.starts[i]:words.ends[i]]) for i in np.flatnonzero(hit)]
                 found += [(0, data[first[i]:last[i]]) for i in pick]
-                yield {"y": [f[0] for f in found], "sample": [f[1][:4096] for f in found]}
+                yield {"y": [f[0] for f in found], "sample": [f[1] for f in found]}
 
     samples = arrow_map(distinct, "y int, sample binary", rows).groupBy("y", "sample").agg(F.count("*").alias("n"))
     ordinary_samples = samples.filter("y = 0").orderBy(F.xxhash64("sample"), "sample").limit(s.ordinary_windows).collect()
