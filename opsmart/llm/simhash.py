@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import arrow_map, id_and_text, materialize
 from .components import components
@@ -242,26 +242,46 @@ def near_duplicates(
     only has a null one. Empty texts share fingerprint 0 and are linked like any other.
     """
     prints = materialize(fingerprint_table(df, shingle, seed, id_col, text_col))
+    named = _groups(prints, max_bits).select("fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def _groups(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fingerprint, least, root, component_id): smallest ids of a fingerprint and of its group, which has a root also without ids."""
     points = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     linked = materialize(components(near_links(points, max_bits)))
     roots = points.join(linked, points["fingerprint"] == linked["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     lowest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(lowest, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return roots.join(lowest, "root").select("fingerprint", "least", "root", "component_id")
 
 
 def drop_near_duplicates(
-    df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text", seed: int = 42
 ) -> DataFrame:
-    """One row of each group: that of the document with the smallest id.
+    """One row of each group: of the rows with the group's smallest id the first in order.
 
-    Rows with the same id are one document, whose first text in order stays. Rows without an id all stay.
+    Likeness is of texts alone: rows of one id whose texts are no near copies are in different groups and all stay where
+    they are the first of theirs. Rows without an id all stay. The order is that of the fingerprint, then of all columns.
     """
-    groups = near_duplicates(df, shingle, max_bits, id_col=id_col, text_col=text_col)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
+    place = df.columns.index(text_col)
+    mark = "__fingerprint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, place):
+                prints = _fingerprints(part.column(place).fill_null(""), shingle, seed)
+                yield part.append_column(mark, pa.array(prints, pa.int64()))
+
+    marked = materialize(df.mapInArrow(run, StructType([*df.schema, StructField(mark, LongType())])))
     ident = F.col(f"`{id_col}`")
-    of_id = W.partitionBy("__kept").orderBy(F.col(f"`{text_col}`"))
-    chosen = df.join(kept, ident == F.col("__kept")).withColumn("__nth", F.row_number().over(of_id)).filter("__nth = 1")
-    return chosen.drop("__kept", "__nth").unionByName(df.filter(ident.isNull()))
+    prints = marked.select(ident.cast("long").alias("doc_id"), F.col(mark).alias("fingerprint"))
+    # Of a group's smallest id one fingerprint, and of the rows that have both one.
+    first = _groups(prints, max_bits).filter(F.col("least") == F.col("component_id"))
+    chosen = first.groupBy("root").agg(F.min("component_id").alias("__kept"), F.min("fingerprint").alias("__print")).drop("root")
+    rows = marked.join(chosen, (ident.cast("long") == F.col("__kept")) & (F.col(mark) == F.col("__print")), "left_semi")
+    whole = F.struct(F.col(f"`{text_col}`"), *(F.col(f"`{c}`") for c in df.columns if c != text_col))
+    one = rows.groupBy(ident.alias("__kept"), mark).agg(F.min(whole).alias("__row"))
+    stay = one.select(*(F.col("__row")[c].alias(c) for c in df.columns))
+    return stay.unionByName(marked.filter(ident.isNull()).drop(mark))
