@@ -506,7 +506,10 @@ ORACLE: dict[str, str] = {
                 avg_price_per_kwh=mean("price_usd_per_kwh"), total_customers=total("customers")),
         ]),
     ),
-    "q27_charts": sql(["place", "ord", *WF], f"SELECT year, month_num, crew_type, {total('labor_cost')} AS total_labor_cost FROM wf GROUP BY ALL"),
+    "q27_charts": sql(["place", "ord", *WF], f"""SELECT CASE grouping(year, month_num, crew_type, city_name, weather_risk_score)
+        WHEN 3 THEN 'month' WHEN 29 THEN 'city' ELSE 'weather' END AS chart, year, month_num, crew_type, city_name, weather_risk_score,
+        {total('labor_cost')} AS total_labor_cost, count(*) AS shifts
+        FROM wf GROUP BY GROUPING SETS ((year, month_num, crew_type), (city_name), (weather_risk_score))"""),
     "q28_quality_report": sql(
         [*WEATHER, *DEMAND_MART, *MIX, *SALES, "trend"],
         " UNION ALL ".join([
@@ -617,4 +620,9 @@ ORACLE: dict[str, str] = {
         (SELECT coalesce(min(v), any_value(node_id)) AS piece FROM node LEFT JOIN dist ON v = node_id GROUP BY v IS NULL, CASE WHEN v IS NULL THEN node_id END)""",
         labels_from("ship_node", "ship_arc") + ", " + distances_from("SELECT 'S0', 'S0', CAST(0 AS BIGINT)", "arc"),
     ),
+    "q61_state_trends": f"""WITH months AS (SELECT o_orderstatus, o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+        count(*) AS orders, {total('o_totalprice')} AS total FROM orders GROUP BY 1, 2, 3)
+        SELECT * REPLACE ({rnd('total', 2)} AS total), orders - lag(orders) OVER w AS orders_mom, orders - lag(orders, 12) OVER w AS orders_yoy,
+        {rnd('total - lag(total, 12) OVER w', 2)} AS total_yoy
+        FROM months WINDOW w AS (PARTITION BY o_orderstatus, o_orderpriority ORDER BY month)""",
 }

@@ -33,12 +33,13 @@ def _weather_mart(s, d):
     return marts.weather_operations(_days(s, d))
 
 
-def _daily(s, d):
+def _daily(s, d, placed=None):
+    placed = placed or raw.written_orders(s, d)
     return marts.operations_summary(
-        _weather_mart(s, d),
+        marts.weather_operations(staging.weather_days(raw.weather(s, d, placed))),
         marts.outage_kpis(staging.outages(raw.outages(s, d))),
-        marts.workforce_kpis(staging.workforce(raw.workforce(s, d))),
-        marts.safety_kpis(staging.safety(raw.safety(s, d))),
+        marts.workforce_kpis(staging.workforce(raw.workforce(s, d, placed))),
+        marts.safety_kpis(staging.safety(raw.safety(s, d, placed))),
     )
 
 
@@ -221,21 +222,23 @@ def crosstab(s, d):
 
 
 def dashboard_measures(s, d):
-    daily = materialize(_daily(s, d))
+    placed = raw.written_orders(s, d)
+    daily = materialize(_daily(s, d, placed))
     return reshape.stack_by_name([
         measures.as_rows(measures.stress(daily, elevated_from=4), "stress"),
         measures.as_rows(measures.outages(daily), "outages"),
-        measures.as_rows(measures.spend(spend_bands(s, d)), "spend"),
-        measures.as_rows(measures.workforce(marts.workforce_kpis(staging.workforce(raw.workforce(s, d)))), "workforce"),
-        measures.as_rows(measures.safety(marts.safety_kpis(staging.safety(raw.safety(s, d)))), "safety"),
+        measures.as_rows(measures.spend(marts.om_spend_mart(staging.om_spend(raw.spend(s, d, placed)))), "spend"),
+        measures.as_rows(measures.workforce(marts.workforce_kpis(staging.workforce(raw.workforce(s, d, placed)))), "workforce"),
+        measures.as_rows(measures.safety(marts.safety_kpis(staging.safety(raw.safety(s, d, placed)))), "safety"),
         measures.as_rows(measures.market(sales_staging(s, d)), "market"),
     ])
 
 
 def charts(s, d):
-    """Labour cost by month and crew type, the ribbon chart of the workforce board."""
+    """The labour charts of the workforce board: by month and crew type, by city, and by weather risk, from one scan."""
     kpis = marts.workforce_kpis(staging.workforce(raw.workforce(s, d)))
-    return measures.by(kpis, exact_sum("labor_cost"), "total_labor_cost", "year", "month_num", "crew_type")
+    boards = {"month": ("year", "month_num", "crew_type"), "city": ("city_name",), "weather": ("weather_risk_score",)}
+    return measures.charts(kpis, {"total_labor_cost": exact_sum("labor_cost"), "shifts": F.count("*")}, boards)
 
 
 def quality_report(s, d):
@@ -500,6 +503,17 @@ def is_connected(s, d):
     return reshape.stack_by_name(found)
 
 
+def state_trends(s, d):
+    """Monthly changes of orders by status and priority, two kinds of states of their own."""
+    months = raw.read(s, d, "orders").groupBy("o_orderstatus", "o_orderpriority", F.trunc("o_orderdate", "month").alias("month")).agg(
+        F.count("*").alias("orders"), exact_sum("o_totalprice").alias("total")
+    )
+    changes = {"orders_mom": ("orders", 1), "orders_yoy": ("orders", 12), "total_yoy": ("total", 12)}
+    return ordered.lag_changes(months, ["o_orderstatus", "o_orderpriority"], ["month"], changes).withColumns(
+        {c: F.round(c, 2) for c in ("total", "total_yoy")}
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_ops_summary_ranked": ops_summary_ranked,
     "q02_ops_summary_daily": ops_summary_daily,
@@ -561,4 +575,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q58_landed_generators": landed_generators,
     "q59_published_export": published_export,
     "q60_is_connected": is_connected,
+    "q61_state_trends": state_trends,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from opsmart.functions import calendar, energy, field
 from opsmart.functions.core import lookup
 from opsmart.operators.reshape import melt_with_units, stack_by_name
+from opsmart.session import materialize_bucketed
 
 # Fixed values of the analogy between retail and utility columns.
 CREW_BY_SEGMENT = {"AUTOMOBILE": "Lineman", "BUILDING": "Engineer", "FURNITURE": "Inspector", "HOUSEHOLD": "Safety Officer", "MACHINERY": "Lineman"}
@@ -67,9 +68,15 @@ def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, folder: str) -> DataFrame:
+def written_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The placed orders as a table in buckets of day and city, for queries that derive several facts from them."""
+    columns = ("o_orderkey", "day", "city", "digit", "o_totalprice", "o_orderstatus", "c_acctbal", "c_mktsegment")
+    return materialize_bucketed(placed_orders(spark, folder).select(*columns), "day", "city")
+
+
+def weather(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
     price = F.col("o_totalprice")
-    return placed_orders(spark, folder).groupBy(F.col("day").alias("date"), "city").agg(
+    return (placed or placed_orders(spark, folder)).groupBy(F.col("day").alias("date"), "city").agg(
         F.round(F.max(price) / 4500, 1).alias("temp_max_f"),
         F.round(F.min(price) / 4500, 1).alias("temp_min_f"),
         F.round(F.nullif(F.max(price) - F.min(price), F.lit(0.0)) / 400000, 2).alias("precipitation_inches"),
@@ -96,8 +103,8 @@ def outages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def workforce(spark: SparkSession, folder: str) -> DataFrame:
-    shifts = placed_orders(spark, folder).withColumns(
+def workforce(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
+    shifts = (placed or placed_orders(spark, folder)).withColumns(
         {
             "hours_worked": F.round(F.col("o_totalprice") / 50000 + 4, 1),
             "hourly_rate": F.round(F.abs("c_acctbal") / 250 + 45, 2),
@@ -118,8 +125,8 @@ def workforce(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def safety(spark: SparkSession, folder: str) -> DataFrame:
-    return placed_orders(spark, folder).select(
+def safety(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
+    return (placed or placed_orders(spark, folder)).select(
         F.col("o_orderkey").alias("obs_id"),
         F.col("day").alias("obs_date"),
         "city",
@@ -134,8 +141,8 @@ def safety(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def spend(spark: SparkSession, folder: str) -> DataFrame:
-    return placed_orders(spark, folder).select(
+def spend(spark: SparkSession, folder: str, placed: DataFrame | None = None) -> DataFrame:
+    return (placed or placed_orders(spark, folder)).select(
         F.col("o_orderkey").alias("spend_id"),
         F.year("day").alias("spend_year"),
         F.month("day").alias("spend_month"),

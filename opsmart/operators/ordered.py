@@ -98,26 +98,42 @@ def lag_changes(
 ) -> DataFrame:
     """Differences to earlier rows of the same group: output name -> (value, how many rows earlier).
 
-    Rows are counted, not calendar periods. The earlier row is found by its row
-    number, an evenly spread key, so a large group is never held by one task.
+    Rows are counted, not calendar periods. ``order`` must be total within a group: end it with a unique column where
+    rows may tie. Rows of a group that are equal in it are an error, since either could be the earlier one.
+
+    Rows are sorted into ranges of (group, order) once and written. Within a range the earlier row is found by a
+    local window, so no task holds a large group. The first rows of a group in a range look further back, into the last
+    rows that the ranges before have of the group: these few rows of either kind of all ranges are lined up on their own.
     """
-    numbered = number_rows(df, partition, order, "__n")
-    names = [f"__group_{i}" for i, _ in enumerate(partition)]
-    result = numbered
-    for distance in dict.fromkeys(rows for _, rows in changes.values()):
-        wanted = {out: value for out, (value, rows) in changes.items() if rows == distance}
-        before = numbered.select(
-            (F.col("__n") + distance).alias("__m"),
-            *[F.col(c).alias(n) for c, n in zip(partition, names)],
-            *[F.col(value).alias(f"__before_{out}") for out, value in wanted.items()],
-        )
-        same = [F.col("__n") == F.col("__m"), *[F.col(c).eqNullSafe(F.col(n)) for c, n in zip(partition, names)]]
-        result = (
-            result.join(before, same, "left")
-            .withColumns({out: F.col(value) - F.col(f"__before_{out}") for out, value in wanted.items()})
-            .drop("__m", *names, *[f"__before_{out}" for out in wanted])
-        )
-    return result.drop("__n")
+    most, keys = max(rows for _, rows in changes.values()), ["__range", *partition]
+    ranges = materialize(df.repartitionByRange(*partition, *order).withColumn("__range", F.spark_partition_id()))
+    inside, backwards = (Window.partitionBy(*keys).orderBy(*columns) for columns in (order, [F.col(c).desc() for c in order]))
+    place = F.row_number().over(inside)
+    # Equal rows are in one range, so a range sees all ties.
+    rank = F.row_number().over(inside) == F.rank().over(inside)
+    known = ranges.withColumns({"__place": place, "__single": rank})
+    tie = F.raise_error(F.concat(F.lit("several rows of a group are equal in "), F.lit(", ".join(order)))).cast("int")
+    known = known.withColumn("__place", F.when(F.col("__single"), F.col("__place")).otherwise(tie)).drop("__single")
+    values = list(dict.fromkeys(value for value, _ in changes.values()))
+    few = [*keys, *order, *values]
+    first = ranges.select(*few, place.alias("__place")).filter(F.col("__place") <= most)
+    last = ranges.select(*few, F.row_number().over(backwards).alias("__back")).filter(F.col("__back") <= most).drop("__back")
+    marks = first.unionByName(last.withColumn("__place", F.lit(None).cast("int"))).groupBy(*keys, *order).agg(
+        F.min("__place").alias("__place"), *(F.first(v).alias(v) for v in values)
+    )
+    # At most twice ``most`` rows of a group per range.
+    lined = Window.partitionBy(*partition).orderBy("__range", *order)
+    wanted = {out: F.when(F.col("__place") <= rows, F.lag(value, rows).over(lined)) for out, (value, rows) in changes.items()}
+    found = marks.select(
+        *[F.col(c).alias(f"__key_{i}") for i, c in enumerate([*keys, "__place"])], *[w.alias(f"__far_{out}") for out, w in wanted.items()]
+    ).filter(F.col(f"__key_{len(keys)}").isNotNull())
+    near = known.withColumns({f"__near_{out}": F.lag(value, rows).over(inside) for out, (value, rows) in changes.items()})
+    same = [F.col(c).eqNullSafe(F.col(f"__key_{i}")) for i, c in enumerate([*keys, "__place"])]
+    joined = near.join(found, same, "left")
+    earlier = {
+        out: F.when(F.col("__place") <= rows, F.col(f"__far_{out}")).otherwise(F.col(f"__near_{out}")) for out, (_, rows) in changes.items()
+    }
+    return joined.withColumns({out: F.col(value) - earlier[out] for out, (value, _) in changes.items()}).select(*df.columns, *changes)
 
 
 def lag_change(df: DataFrame, value: str, output: str, partition: Sequence[str], order: str, rows: int = 1) -> DataFrame:

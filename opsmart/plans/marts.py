@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import calendar, energy, field, grid, weather
-from ..functions.core import exact_avg, exact_sum, known, strict_greatest
+from ..functions.core import as_decimal, exact_avg, exact_sum, known, strict_greatest
 from ..operators import ordered
 from ..operators.joins import spine_join, with_context
 from ..operators.rollups import most_frequent
@@ -179,13 +179,18 @@ def operations_summary(weather_mart: DataFrame, outages: DataFrame, workforce: D
 def state_weather(days: DataFrame, base: float = rules.DEGREE_DAY_BASE_F) -> DataFrame:
     """Cities to one row per day: means, degree days of the unrounded mean, most common description."""
     digits = {"temp_avg_f": 1, "temp_max_f": 1, "temp_min_f": 1, "wind_speed_max_mph": 1, "precipitation_inches": 2}
-    parts = {}
+    parts, mean = {}, {}
     for name in digits:
         amount = known(name)
-        parts[f"{name}__sum"] = (F.sum(amount.try_cast("decimal(38,12)")), F.sum(f"{name}__sum").cast("double"))
-        parts[f"{name}__n"] = (F.count(amount), F.sum(f"{name}__n").cast("double"))
+        exact = as_decimal(amount)
+        # As in ``exact_avg``: decimals where they hold every value, doubles otherwise.
+        parts |= {
+            f"{name}__sum": (F.try_sum(exact), F.try_sum(f"{name}__sum")), f"{name}__held": (F.count(exact), F.sum(f"{name}__held")),
+            f"{name}__plain": (F.sum(amount), F.sum(f"{name}__plain")), f"{name}__n": (F.count(amount), F.sum(f"{name}__n")),
+        }
+        held = F.when(F.col(f"{name}__held") == F.col(f"{name}__n"), F.col(f"{name}__sum").cast("double"))
+        mean[name] = F.try_divide(F.coalesce(held, f"{name}__plain"), F.col(f"{name}__n").cast("double"))
     daily = most_frequent(days, ["weather_date"], "weather_description", "dominant_weather", parts)
-    mean = {name: F.try_divide(F.col(f"{name}__sum"), F.col(f"{name}__n")) for name in digits}
     zero, base_lit = F.lit(0.0), F.lit(float(base))
     return daily.select(
         "weather_date",

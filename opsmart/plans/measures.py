@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,5 +87,21 @@ def by(df: DataFrame, measure: Column, name: str, *dimensions: str) -> DataFrame
     return df.groupBy(*dimensions).agg(measure.alias(name))
 
 
+def charts(df: DataFrame, values: Mapping[str, Column], boards: Mapping[str, Sequence[str]]) -> DataFrame:
+    """All charts of a board from one scan: (chart, every dimension, every measure).
+
+    ``boards`` names the dimensions of each chart; in its rows the dimensions of the others are NULL. Charts with the
+    same dimensions are one chart. The scan is grouped by all sets of dimensions at once.
+    """
+    dimensions = list(dict.fromkeys(c for columns in boards.values() for c in columns))
+    number = {name: sum(1 << (len(dimensions) - 1 - i) for i, c in enumerate(dimensions) if c not in columns) for name, columns in boards.items()}
+    sets = [[F.col(c) for c in columns] for columns in boards.values()]
+    grouped = df.groupingSets(sets, *(F.col(c) for c in dimensions)).agg(
+        F.grouping_id().alias("__set"), *(v.alias(n) for n, v in values.items())
+    )
+    chart = F.coalesce(*(F.when(F.col("__set") == n, F.lit(name)) for name, n in number.items()))
+    return grouped.select(chart.alias("chart"), *dimensions, *values)
+
+
 def matrix(df: DataFrame, row: str, column: str, values, measure: Column) -> DataFrame:
     return cross_tab(df, row, column, values, measure)

@@ -74,6 +74,19 @@ def materialize_counted(df: DataFrame, **values: Column) -> tuple[DataFrame, dic
     return table, seen.get
 
 
+def materialize_bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """``materialize`` in buckets of the keys, as many as shuffle partitions.
+
+    Aggregations by these keys, and joins of such aggregates, then need no further exchange. For facts that several
+    results are derived from. The table has a name in the session's catalog, since only those can have buckets.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def discard(df: DataFrame) -> None:
     """Remove a table made by ``materialize`` that a later round has replaced, so that rounds do not pile up."""
     spark = df.sparkSession

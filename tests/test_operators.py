@@ -169,3 +169,27 @@ def test_shares_and_running_totals_of_small_and_large_values(spark):
     run = lambda df: [r["run"] for r in ordered.running_total(df, "v", "run", F.col("k")).orderBy("k").collect()]
     assert run(small) == [0.00002, 0.00004]
     assert run(spark.createDataFrame([("a", 3e14), ("b", None), ("c", 1e40), ("d", 1.0)], "k string, v double")) == [3e14, 3e14, 1e40, 1e40]
+
+
+def test_changes_across_ranges(spark, many_ranges):
+    """Groups of every size over many ranges, nulls among values and groups, against lags of whole groups."""
+    rng = random.Random(4)
+    rows = [(g, t, None if rng.random() < 0.1 else rng.random()) for g, n in ((None, 3), ("a", 500), ("b", 1), ("c", 40), ("d", 13)) for t in range(n)]
+    df = spark.createDataFrame(rows, "g string, t int, v double")
+    df = df.withColumn("__range_like", F.lit(1))
+    got = ordered.lag_changes(df, ["g"], ["t"], {"one": ("v", 1), "twelve": ("v", 12), "two": ("t", 2)})
+    assert got.columns == ["g", "t", "v", "__range_like", "one", "twelve", "two"] and got.count() == len(rows)
+    known = {(g, t): v for g, t, v in rows}
+    minus = lambda a, b: None if a is None or b is None else a - b
+    for r in got.collect():
+        v = known[r["g"], r["t"]]
+        want = [minus(v, known.get((r["g"], r["t"] - n))) for n in (1, 12)]
+        assert [r["one"], r["twelve"]] == want and r["two"] == (2 if r["t"] >= 2 else None)
+
+
+def test_changes_need_one_row_per_key(spark):
+    df = spark.createDataFrame([("a", 1, 1.0, 1), ("a", 1, 2.0, 2), ("a", 2, 4.0, 3)], "g string, t int, v double, n int")
+    with pytest.raises(Exception, match="several rows of a group are equal in t"):
+        ordered.lag_changes(df, ["g"], ["t"], {"d": ("v", 1)}).collect()
+    split = ordered.lag_changes(df, ["g"], ["t", "n"], {"d": ("v", 1)})
+    assert [r["d"] for r in split.orderBy("n").collect()] == [None, 1.0, 2.0]

@@ -244,3 +244,12 @@ def test_fallback_and_weather_pages(spark, tmp_path):
     assert {r["sector"] for r in readers.table(spark, str(raw), "raw_eia_supply_disposition").collect()} == {"IND"}
     with pytest.raises(ValueError, match="no page of demand"):
         ingest.ingest(spark, str(landed), str(raw), ingest.SOURCES[:1])
+
+
+def test_state_means_keep_values_that_decimals_do_not_hold(spark):
+    rows = [(DAY, "A", 2e26), (DAY, "B", 50.0), (DAY + dt.timedelta(days=1), "A", 1 / 3), (DAY + dt.timedelta(days=1), "B", float("nan"))]
+    days = spark.createDataFrame(rows, "weather_date date, city_name string, temp_avg_f double").withColumns({
+        **{c: F.lit(1.0) for c in ("temp_max_f", "temp_min_f", "wind_speed_max_mph", "precipitation_inches")}, "weather_description": F.lit("Clear"),
+    })
+    got = {r["weather_date"]: r["temp_avg_f"] for r in marts.state_weather(days).collect()}
+    assert got == {DAY: 1e26, DAY + dt.timedelta(days=1): 0.3}
