@@ -114,16 +114,16 @@ def lag_changes(
     known = ranges.withColumns({"__place": place, "__single": rank})
     tie = F.raise_error(F.concat(F.lit("several rows of a group are equal in "), F.lit(", ".join(order)))).cast("int")
     known = known.withColumn("__place", F.when(F.col("__single"), F.col("__place")).otherwise(tie)).drop("__single")
-    values = list(dict.fromkeys(value for value, _ in changes.values()))
-    few = [*keys, *order, *values]
+    values = {value: f"__value_{i}" for i, value in enumerate(dict.fromkeys(value for value, _ in changes.values()))}
+    few = [*keys, *order, *(F.col(value).alias(name) for value, name in values.items())]
     first = ranges.select(*few, place.alias("__place")).filter(F.col("__place") <= most)
     last = ranges.select(*few, F.row_number().over(backwards).alias("__back")).filter(F.col("__back") <= most).drop("__back")
     marks = first.unionByName(last.withColumn("__place", F.lit(None).cast("int"))).groupBy(*keys, *order).agg(
-        F.min("__place").alias("__place"), *(F.first(v).alias(v) for v in values)
+        F.min("__place").alias("__place"), *(F.first(name).alias(name) for name in values.values())
     )
     # At most twice ``most`` rows of a group per range.
     lined = Window.partitionBy(*partition).orderBy("__range", *order)
-    wanted = {out: F.when(F.col("__place") <= rows, F.lag(value, rows).over(lined)) for out, (value, rows) in changes.items()}
+    wanted = {out: F.when(F.col("__place") <= rows, F.lag(values[value], rows).over(lined)) for out, (value, rows) in changes.items()}
     found = marks.select(
         *[F.col(c).alias(f"__key_{i}") for i, c in enumerate([*keys, "__place"])], *[w.alias(f"__far_{out}") for out, w in wanted.items()]
     ).filter(F.col(f"__key_{len(keys)}").isNotNull())

@@ -1,7 +1,9 @@
 """Joins, rollups, ordered operators, reshape, filters and column tests on hand-written rows."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsmart.operators import filters, joins, ordered, quality, reshape, rollups
