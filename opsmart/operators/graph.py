@@ -61,8 +61,8 @@ def _linked_pairs(df: DataFrame, first: str, second: str) -> DataFrame:
     ).distinct()
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Component of every node, named by its smallest node.
+def _contracted(links: DataFrame) -> DataFrame | None:
+    """(node, root) for every node of the links (a, b), the root being the same node all over a component.
 
     Randomised contraction (Boegeholz, Brand and Todor 2020): in every round each
     node joins the neighbour that comes first in a fresh random order, and the
@@ -71,7 +71,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     cost little more than the first ones, and long chains need no more rounds
     than other networks of the same size.
     """
-    links, seen = materialize_counted(_linked_pairs(edges, "src", "dst"))
+    links, seen = materialize_counted(links)
     joined = []
     while seen["rows"]:
         place = lambda c: F.xxhash64(c, F.lit(len(joined)))
@@ -91,18 +91,54 @@ def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         old = links
         links, seen = materialize_counted(_linked_pairs(links.join(first, "a").join(second, "b"), "root_a", "root_b"))
         discard(old)
-    everyone = nodes.select("node")
     if not joined:
-        return everyone.withColumn("component", F.col("node"))
+        return None
     final = joined.pop()
     while joined:
         above = final.select(F.col("node").alias("root"), F.col("root").alias("top"))
         final = joined.pop().join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
         if len(joined) % JOINS_PER_PLAN == 0:
             final = materialize(final)
-    lowest = final.groupBy("root").agg(F.min("node").alias("component"))
-    named = final.join(lowest, "root").select("node", "component")
-    return everyone.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return final
+
+
+def connected_components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Component of every node, named by its smallest node.
+
+    Links often lead from one kind of node to another with few links each. So each
+    target first joins the smallest of its sources, and the link to every other source becomes
+    one between the two sources. A target that is no source itself then has no links
+    any more and leaves the network: only sources, and as many links less as there were such
+    targets, are left to be contracted. The side with more nodes counts as the targets.
+    """
+    ends = {c: F.approx_count_distinct(c) for c in ("src", "dst")}
+    links, seen = materialize_counted(edges.filter(F.col("src") != F.col("dst")).select("src", "dst"), **ends)
+    if seen["src"] > seen["dst"]:
+        links = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    none = lambda c: F.lit(None).cast(links.schema[c].dataType)
+    as_target = links.select(F.col("dst").alias("node"), F.col("src").alias("source"), none("dst").alias("target"))
+    as_source = links.select(F.col("src").alias("node"), none("src").alias("source"), F.col("dst").alias("target"))
+    met = materialize(
+        as_target.unionByName(as_source).groupBy("node").agg(
+            F.min("source").alias("first"), F.max("source").alias("last"), F.min("target").alias("low")
+        )
+    )
+    shared = met.filter(F.col("first") != F.col("last")).select(F.col("node").alias("dst"), "first")
+    passing = met.filter(F.col("first").isNotNull() & F.col("low").isNotNull()).select(F.col("node").alias("src"), "first")
+    tops = _contracted(_linked_pairs(links.join(shared, "dst").select("src", "first").unionByName(passing), "src", "first"))
+    discard(links)
+    # All targets of a source are in its component, so the smallest node is a source or the smallest target of one.
+    named = met.filter(F.col("low").isNotNull()).select("node", F.least("node", "low").alias("component"))
+    if tops is not None:
+        lowest = tops.join(named, "node").groupBy("root").agg(F.min("component").alias("lowest"))
+        within = tops.join(lowest, "root").select("node", "lowest")
+        named = named.join(within, "node", "left").select("node", F.coalesce("lowest", "component").alias("component"))
+    named = materialize(named)
+    left = met.filter(F.col("low").isNull()).select("node", "first")
+    left = left.join(named.select(F.col("node").alias("first"), "component"), "first").select("node", "component")
+    return nodes.select("node").join(named.unionByName(left), "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component")
+    )
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -110,7 +146,11 @@ def component_sizes(components: DataFrame) -> DataFrame:
 
 
 def is_connected(components: DataFrame) -> bool:
-    return components.select("component").distinct().limit(2).count() == 1
+    names = components.agg(
+        F.count("*").alias("rows"), F.count("component").alias("named"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    ).first()
+    return names["rows"] > 0 and names["named"] in (0, names["rows"]) and names["low"] == names["high"]
 
 
 def remove_nodes(edges: DataFrame, removed: DataFrame) -> DataFrame:

@@ -134,3 +134,62 @@ def test_unreachable_and_trivial_paths(spark):
     edges = spark.createDataFrame([(1, 2, 1), (3, 4, 1)], "src int, dst int, weight int")
     assert graph.shortest_path(edges, 1, 4).count() == 0
     assert [tuple(r) for r in graph.shortest_path(edges, 1, 1).collect()] == [(0, 1, 0)]
+
+
+def smallest_reached(nodes, edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+    return sorted(((n, n if n is None else find(n)) for n in nodes), key=str)
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_ends_with_one_link_leave_before_the_rounds(spark, monkeypatch, turned):
+    """3,000 orders of ten shipments each, of which every tenth order shares one with the order before: rounds get the shared ones only."""
+    links = spark.range(30000).select((F.col("id") / 10).cast("long").alias("src"), (-1 - F.col("id")).alias("dst"))
+    common = spark.range(9, 3000, 10).select(F.col("id").alias("src"), (-1 - (F.col("id") - 1) * 10).alias("dst"))
+    edges = links.unionByName(common)
+    if turned:
+        edges = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    nodes = spark.range(3000).unionByName(spark.range(30000).select((-1 - F.col("id")).alias("id"))).withColumnRenamed("id", "node")
+    written, real = [], graph.materialize_counted
+
+    def counting(df, **values):
+        table, seen = real(df, **values)
+        written.append((table.columns, seen["rows"]))
+        return table, seen
+
+    monkeypatch.setattr(graph, "materialize_counted", counting)
+    found = graph.connected_components(edges, nodes)
+    assert sum(rows for columns, rows in written if columns == ["a", "b"] or columns == ["root_a", "root_b"]) <= 600
+    assert found.count() == 33000
+    sizes = {r["size"]: r["count"] for r in graph.component_sizes(found).groupBy("size").count().collect()}
+    assert sizes == {11: 2400, 22: 300}
+    assert found.filter("component > node").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_of_links_that_go_both_ways(spark, seed):
+    """Targets that are sources too, double and turned links, self-loops, nulls, ends that are no node, nodes that come twice."""
+    rng = random.Random(seed)
+    some = lambda: None if rng.random() < 0.05 else f"n{rng.randrange(60):02d}"
+    edges = [(some(), some()) for _ in range(30)]
+    edges += [(b, a) for a, b in edges[:8]] + edges[:5] + [("n03", "n03"), ("n70", "n71"), ("n71", "n72"), ("n70", "n72")]
+    nodes = [f"n{i:02d}" for i in range(5, 75)] + ["n08", "n70", None]
+    found = graph.connected_components(spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([(n,) for n in nodes], "node string"))
+    assert sorted(((r["node"], r["component"]) for r in found.collect()), key=str) == smallest_reached(nodes, edges)
+
+
+def test_connected_means_one_component(spark):
+    connected = lambda *names: graph.is_connected(spark.createDataFrame([(n,) for n in names], "component long"))
+    assert connected(4, 4) and connected(None, None)
+    assert not connected() and not connected(4, 5) and not connected(4, None)
